@@ -10,11 +10,13 @@ from .op1_substring_dedup import op1_substring_dedup
 from .op5_quality_rules import op5_quality_rules
 from .op6_suffix_array import op6_suffix_array
 from .op9_line_dedup import op9_line_dedup
+from .op8_ngram_join import op8_ngram_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array": op6_suffix_array,
     "op9_line_dedup": op9_line_dedup,
+    "op8_ngram_join": op8_ngram_join,
 }
 SQL: dict[str, str] = {}
