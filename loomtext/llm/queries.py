@@ -11,6 +11,7 @@ from .op5_quality_rules import op5_quality_rules
 from .op6_suffix_array import op6_suffix_array
 from .op9_line_dedup import op9_line_dedup
 from .op8_ngram_join import op8_ngram_join
+from .op7_mixing import op7_mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -18,5 +19,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_array": op6_suffix_array,
     "op9_line_dedup": op9_line_dedup,
     "op8_ngram_join": op8_ngram_join,
+    "op7_mixing": op7_mixing,
 }
 SQL: dict[str, str] = {}
