@@ -12,6 +12,8 @@ from .op6_suffix_array import op6_suffix_array
 from .op9_line_dedup import op9_line_dedup
 from .op8_ngram_join import op8_ngram_join
 from .op7_mixing import op7_mixing
+from .op4_decontamination import op4_decontamination
+from .op10_url_filter import op10_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -20,5 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op7_mixing": op7_mixing,
+    "op4_decontamination": op4_decontamination,
+    "op10_url_filter": op10_url_filter,
 }
 SQL: dict[str, str] = {}
