@@ -14,6 +14,7 @@ from .op8_ngram_join import op8_ngram_join
 from .op7_mixing import op7_mixing
 from .op4_decontamination import op4_decontamination
 from .op10_url_filter import op10_url_filter
+from .op2_suffix_tree import op2_suffix_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -24,5 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op4_decontamination": op4_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op2_suffix_tree": op2_suffix_tree,
 }
 SQL: dict[str, str] = {}
