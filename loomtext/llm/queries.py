@@ -15,6 +15,7 @@ from .op7_mixing import op7_mixing
 from .op4_decontamination import op4_decontamination
 from .op10_url_filter import op10_url_filter
 from .op2_suffix_tree import op2_suffix_tree
+from .op3_language_crf import op3_language_crf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -26,5 +27,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op10_url_filter": op10_url_filter,
     "op2_suffix_tree": op2_suffix_tree,
+    "op3_language_crf": op3_language_crf,
 }
 SQL: dict[str, str] = {}
