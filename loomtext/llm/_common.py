@@ -31,9 +31,9 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """doc_id and text alone, whatever other columns there are."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def documents(docs: DataFrame, *others: str) -> DataFrame:
+    """doc_id, text and the named columns alone, whatever other columns there are."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *others)
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
@@ -48,11 +48,12 @@ def without(docs: DataFrame, copies: DataFrame) -> DataFrame:
 
     A broadcast table of the copies' hash buckets (COPY_BUCKETS rows at most) parts the documents; those in a
     listed bucket go through an exact anti join."""
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_BUCKETS)).alias("bucket")
+    name = "_bucket_of_doc"
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_BUCKETS)).alias(name)
     listed = F.broadcast(copies.select(bucket).distinct())
-    keyed = docs.withColumn("bucket", F.coalesce(bucket, F.lit(-1)))
-    sure = keyed.join(listed, "bucket", "left_anti").drop("bucket")
-    rest = keyed.join(listed, "bucket", "left_semi").drop("bucket").join(copies.select("doc_id"), "doc_id", "left_anti")
+    keyed = docs.withColumn(name, F.when(F.col("doc_id").isNotNull(), bucket).otherwise(-1))
+    sure = keyed.join(listed, name, "left_anti").drop(name)
+    rest = keyed.join(listed, name, "left_semi").drop(name).join(copies.select("doc_id"), "doc_id", "left_anti")
     return sure.unionByName(rest)
 
 

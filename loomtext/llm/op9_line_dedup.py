@@ -18,7 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ._common import as_batch, copies_of, documents, saved, without
 
@@ -94,9 +94,11 @@ def overlapping(seqs: DataFrame, rare: int) -> DataFrame:
     return by_line.unionByName(by_couple).where("doc_id > other_id").distinct()
 
 
-def line_dedup(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, n_lines, n_removed, n_partners (earlier documents aligned with), kept: the text without the deleted lines."""
-    docs = documents(docs)
+def line_dedup(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, others: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_lines, n_removed, n_partners (earlier documents aligned with), kept: the text without the deleted lines.
+
+    others: columns of docs to hand on."""
+    docs = documents(docs, *others)
     copies = copies_of(docs)
     firsts = without(docs, copies).where("doc_id is not null and text is not null").dropDuplicates(["doc_id"])
     blank = "length(trim(both ' \\t\\r\\u000b\\u000c' from x)) = 0"
@@ -140,9 +142,11 @@ def line_dedup(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS) ->
                     kept = [x for i, x in enumerate(lines) if i not in gone]
                     out.append((doc_id.as_py(), len(lines), len(lines) - len(kept), n.as_py(), "\n".join(kept)))
             if out:
-                yield as_batch(RESULT, *zip(*out))
+                own = as_batch(RESULT, *zip(*out))
+                yield pa.RecordBatch.from_arrays([*own.columns, *(batch.column(c) for c in others)], names=[*RESULT.names, *others])
 
-    return docs.join(marks, "doc_id", "left").mapInArrow(delete, "doc_id long, n_lines long, n_removed long, n_partners long, kept string")
+    schema = T.StructType.fromDDL("doc_id long, n_lines long, n_removed long, n_partners long, kept string")
+    return docs.join(marks, "doc_id", "left").mapInArrow(delete, T.StructType([*schema.fields, *(docs.schema[c] for c in others)]))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
