@@ -1,15 +1,61 @@
-"""The corpus pipeline: quality rules, line dedup, n-gram Jaccard join, benchmark decontamination, mixing."""
+"""The corpus pipeline: quality rules, line dedup, n-gram Jaccard join, benchmark decontamination, mixing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Documents with a null doc_id pass
+the filters, as no verdict can name them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from loomtext.llm._common import saved, without
+from loomtext.llm.op4_decontamination import decontaminate
+from loomtext.llm.op5_quality_rules import quality_rules
+from loomtext.llm.op7_mixing import mix_sources
+from loomtext.llm.op8_ngram_join import ngram_join
+from loomtext.llm.op9_line_dedup import line_dedup
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    rules = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return without(docs.select(COLUMNS), saved(rules.where("not kept and doc_id is not null").select("doc_id").distinct(), "rejected"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks of lines that an earlier document holds are deleted; a document with no word left goes."""
+    left = line_dedup(docs, others=("lang", "source"))
+    left = left.where("n_removed = 0 or kept rlike '[^ \\\\t\\\\n\\\\r\\\\x0B\\\\f]'")
+    return left.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, that with the smallest doc_id."""
+    return without(docs.select(COLUMNS), saved(ngram_join(docs).where("doc_id <> class_id").select("doc_id"), "near"))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs.select(COLUMNS), saved(leaks.select("doc_id").distinct(), "leaking"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with their whole copies and words taken."""
+    mix = mix_sources(docs).where("taken > 0").select("doc_id", "copies", "taken").dropDuplicates(["doc_id"])
+    return docs.select(COLUMNS).join(mix, "doc_id")
+
 
-STAGES: list = []
+STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("mixing", mixing)]
+#: SQL cannot state the alignment, the forest and the fingerprints; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each stage's result is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
