@@ -50,7 +50,7 @@ def labels(s: np.ndarray) -> np.ndarray:
             x = (s[at : at + 256, None] ^ _SEEDS) * U(0x9FB21C651E98DF25)
             x ^= x >> U(32)
             low = np.minimum(low, (x * U(0xD6E8FEB86659FD93)).min(0))
-    return (low >> U(56)).astype(np.uint8).reshape(TREES, DEPTH).view(">u8")[:, 0].astype(U)
+    return (mix(low) >> U(56)).astype(np.uint8)  # the least values' own high bits are nearly all zero.reshape(TREES, DEPTH).view(">u8")[:, 0].astype(U)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
