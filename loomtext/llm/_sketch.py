@@ -21,8 +21,8 @@ SEEDS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9][:ROWS]
 
 
 def bits_for(keys: float) -> int:
-    """Two to four cells a key."""
-    return min(MAX_BITS, max(16, int(np.ceil(np.log2(max(1.0, 2 * keys))))))
+    """Four to eight cells a key."""
+    return min(MAX_BITS, max(16, int(np.ceil(np.log2(max(1.0, 4 * keys))))))
 
 
 def cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:

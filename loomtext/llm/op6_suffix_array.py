@@ -130,7 +130,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     firsts = without(docs, copies).where("doc_id is not null and text is not null")
     most = length - LEAD + 1
     size = text_bytes(docs)
-    bits = _sketch.bits_for(size / (most + 1) * 2 * 0.6)
+    bits = _sketch.bits_for(size / (most + 1) * 2)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = []
