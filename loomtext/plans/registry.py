@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from . import text_queries
+
+MODULES = (text_queries,)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+SQL: dict[str, str] = {k: v for m in MODULES for k, v in m.SQL.items()}
