@@ -24,15 +24,25 @@ def shared_dir(spark: SparkSession) -> str:
     return "file:///tmp/checkpoints/loomtext"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends here and a lost executor costs no recomputation."""
+def saved(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: lineage ends here and a lost executor costs no recomputation.
+
+    codec: zstd for texts; hashes do not shrink."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows in this session: a batch of texts then takes a few MB on either side."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def documents(docs: DataFrame, *others: str) -> DataFrame:
     """doc_id, text and the named columns alone, whatever other columns there are."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *others)
 
 
@@ -57,6 +67,13 @@ def without(docs: DataFrame, copies: DataFrame) -> DataFrame:
     return sure.unionByName(rest)
 
 
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents listed in ids and a few others that share their hash buckets; no text is shuffled."""
+    name = "_bucket_of_doc"
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_BUCKETS)).alias(name)
+    return docs.withColumn(name, bucket).join(F.broadcast(ids.select(bucket).distinct()), name, "left_semi").drop(name)
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts; sizes of sketches and partition counts follow from it."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

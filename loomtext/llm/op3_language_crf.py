@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._common import as_batch
+from ._common import as_batch, small_batches
 from ._words import LOWER, Piece, U, Words, byte_grams, hashes, mix, pieces, words
 
 BUCKETS, LEXICON, PER_LANG, TRAIN_BYTES, SEGMENT, ROUNDS, FOLDS, HELD = 1 << 16, 3, 120, 20_000, 64, 40, 5, 0
@@ -217,6 +217,7 @@ def fitted(docs: DataFrame) -> Crf:
 
 def identify(docs: DataFrame, train_share: str = f"crc32(cast(cast(doc_id as string) as binary)) % {FOLDS} <> {HELD}") -> DataFrame:
     """doc_id, held_out, lang_pred, score, n_words, n_switches (words whose likeliest label differs from the one before)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.withColumn("train", F.coalesce(F.expr(train_share), F.lit(False)))
     model = docs.sparkSession.sparkContext.broadcast(fitted(rows))

@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._common import as_batch, saved
+from ._common import as_batch, saved, small_batches
 from ._words import U, grams, hashes, mix, pieces, words
 
 #: Most share of good documents that a stratum may lose, and the chance that any stratum loses more.
@@ -83,6 +83,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counts(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     """doc_id, stratum, the counts, base_failed and badness of each text."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(stratum).cast("string").alias("stratum"))
     share = lambda c: F.floor(F.lit(TOP) * F.col(c) / F.greatest(F.col("n_words"), F.lit(1)))
     return (

@@ -174,7 +174,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             keep = [text[k] if o else (None, None) for k, o in zip(kind[part].tolist(), open_[part].tolist())]
             yield as_batch(ROW, [x[0] for x in keep], [x[1] for x in keep], doc[part], start[part].astype(np.int32), (start + count - 1 + length)[part].astype(np.int32))
 
-    rows = saved(firsts.mapInArrow(suffixes, "suffix binary, left binary, doc_id long, start int, stop int"), "suffixes")
+    rows = saved(firsts.mapInArrow(suffixes, "suffix binary, left binary, doc_id long, start int, stop int"), "suffixes", "zstd")
 
     def sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]

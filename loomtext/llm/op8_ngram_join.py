@@ -23,11 +23,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._common import as_batch, documents, groups, parts, saved
+from ._common import as_batch, documents, groups, likely, parts, saved
 from ._graph import components
 from ._words import U, hashes, mix, per_doc, pieces, shingles, words
 
-TREES, DEPTH, THRESHOLD, RECALL, BLOCK = 20, 8, 0.8, 0.9999, 256
+TREES, DEPTH, THRESHOLD, RECALL, BLOCK = 20, 8, 0.8, 0.9999, 512
 SIGNATURE = pa.schema([("doc_id", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("n", pa.int32()), ("labels", pa.list_(pa.int64()))])
 SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 LINKS = pa.schema([("doc_id", pa.int64()), ("n_links", pa.int64()), ("low_id", pa.int64())])
@@ -88,9 +88,9 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     of, col = of[keep], (np.cumsum(count > 1) - 1)[col[keep]]
     order = np.argsort(col, kind="stable")
     of, col = of[order], col[order]
-    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
-        a, b = np.searchsorted(col, [lo, lo + 4096])
-        m = np.zeros((n, 4096), np.float32)
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, 2048):
+        a, b = np.searchsorted(col, [lo, lo + 2048])
+        m = np.zeros((n, 2048), np.float32)
         m[of[a:b], col[a:b] - lo] = 1
         out += m @ m.T
     return out
@@ -156,7 +156,7 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     buckets = paths.groupBy("tree", "prefix").agg(F.count("*").alias("m"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("who")).where("m > 1")
     once = buckets.groupBy("m", "who").agg(F.min(F.struct("tree", "prefix")).alias("b")).select("b.tree", "b.prefix", "m")
     chosen = saved(paths.join(once, ["tree", "prefix"]).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).select("doc_id", "tree", "prefix", "blocks"), "buckets")
-    texts = docs.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = likely(docs, chosen)
     sets = saved(texts.mapInArrow(_sets, "doc_id long, shingles binary").join(heads, "doc_id"), "sets")
     block = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks")).cast("int")
     units = (
