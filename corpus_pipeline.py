@@ -57,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's result is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}", "zstd")
     return STAGES[-1][1](spark, docs, sf_dir)
