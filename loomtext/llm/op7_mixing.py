@@ -13,7 +13,7 @@ The ranks are never sorted in one task: words are summed in BINS intervals of th
 boundary is parted again, and only its documents are put in order.
 
 Defined cases: null or blank texts have size 0 and take 0; rows that repeat a doc_id are ranked apart by their
-texts' hashes and then equal rows share one fate; an empty table gives an empty result.
+texts' hashes, and of wholly equal rows any may be the one that is cut; an empty table gives an empty result.
 """
 
 from __future__ import annotations
