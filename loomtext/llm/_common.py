@@ -50,6 +50,7 @@ def copies_of(docs: DataFrame) -> DataFrame:
     """doc_id, first_id for each document whose text is that of a document with a smaller doc_id (first_id: the smallest)."""
     keyed = saved(docs.where("text is not null and doc_id is not null").select("doc_id", F.unhex(F.md5("text")).alias("h")), "texts")
     first = keyed.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").drop("last_id")
+    first = saved(first, "firsts")  # read from a table both sides of the join are plain exchanges, so a hot key can be split
     return saved(keyed.join(first, "h").where("doc_id > first_id").select("doc_id", "first_id").distinct(), "copies")
 
 

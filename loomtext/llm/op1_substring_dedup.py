@@ -76,6 +76,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
     found = saved(firsts.mapInArrow(occurrences, "window long, doc_id long, pos int"), "windows")
     shared = found.groupBy("window").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").drop("last_id")
+    shared = saved(shared, "shared")  # so that the join below can split the rows of a hot window
     hits = found.join(shared, "window").where("doc_id > first_id")
     marks = (
         hits.groupBy("doc_id").agg(F.collect_set("pos").alias("at")).withColumn("whole", F.lit(False))

@@ -150,6 +150,7 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     signed = saved(docs.mapInArrow(_signatures, "doc_id long, set_a long, set_b long, n int, labels array<long>"), "signatures")
     full, bare = signed.where("n > 0"), signed.where("n = 0")
     of_set = full.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("copies"))
+    of_set = saved(of_set, "sets-of-copies")  # so that the join below can split the rows of a hot set
     members = saved(full.select("doc_id", "set_a", "set_b", "n").join(of_set, ["set_a", "set_b", "n"]).select("doc_id", "copy_of", (F.col("copies") - 1).alias("n_copies")), "members")
     heads = full.join(members.where("doc_id = copy_of").select("doc_id"), "doc_id", "left_semi").select("doc_id", "labels")
     paths = saved(heads.select("doc_id", F.posexplode("labels").alias("tree", "label")).select("doc_id", "tree", F.shiftrightunsigned("label", shift).alias("prefix")), "paths")

@@ -90,6 +90,7 @@ def overlapping(seqs: DataFrame, rare: int) -> DataFrame:
     couple = couple.join(known.where(F.col("n") > rare).select("line"), "line").select("doc_id", "couple").distinct()
     couple = saved(couple, "couples")
     first = couple.groupBy("couple").agg(F.count("*").alias("n"), F.min("doc_id").alias("other_id")).where("n > 1")
+    first = saved(first, "first-couples")  # so that the join below can split a hot couple
     by_couple = couple.join(first, "couple").select("doc_id", "other_id")
     return by_line.unionByName(by_couple).where("doc_id > other_id").distinct()
 
