@@ -268,6 +268,9 @@ b as (select doc_id, pos, line, blanks - lag(blanks) over (partition by doc_id o
 t as (select doc_id, string_agg(case when gap is null then line when gap > 0 then chr(10) || chr(10) || line else chr(10) || line end, '' order by pos) as body from b group by doc_id),
 v as (select doc_id, string_agg(pos || ':' || reason, ',' order by pos) as events from r where reason is not null group by doc_id)
 select doc_id, sha256(coalesce(body, '')) as sha256, coalesce(events, '') as events from documents left join t using (doc_id) left join v using (doc_id)""",
+    "length_cap": rf"""with a as (select doc_id, text, regexp_extract_all(text, '(?s)[^\p{{L}}]*\p{{L}}') as pieces from documents), b as (select *, array_to_string(list_slice(pieces, 1, 500), '') as head from a),
+c as (select *, regexp_replace(head || regexp_extract(substr(text, length(head) + 1), '(?s)^[^\p{{L}}]*'), '\s+$', '') as cut from b), e as (select *, regexp_extract(cut, '(?s)^(.*[.!?])', 1) as sentence from c)
+select doc_id, sha256({STRIP.format(f"case when len(pieces) <= 500 then text when sentence <> '' and {COUNTED.format('sentence')} >= {P.cap_floor} then sentence else cut end")}) as sha256 from e""",
     "chapter_split": f"""with c as (select source, doc_id, row_number() over (partition by source order by doc_id) as n, {STRIP.format("regexp_replace(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '[ \\t]+\\n', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")} as text from documents)
 select source || '_chapter_' || lpad(cast(n as varchar), 4, '0') as id, 'Chapter ' || doc_id as chapter_title, length({LETTERS}) as char_count, sha256(text) as sha256 from c""",
     "vote_aggregate": f"with {REVIEWS} select id, review_count, pass_votes, fail_votes, blocker_votes, issues, reviewers, n_reviewers = 3 and pass_votes >= 2 as agent_gate_pass, blocker_votes > 0 as requires_human_arbitration from votes",
@@ -319,4 +322,4 @@ def _literals() -> None:
 
 
 _literals()
-QUERIES = {name: globals()[name] for name in [*SQL, "length_cap"]}
+QUERIES = {name: globals()[name] for name in SQL}
