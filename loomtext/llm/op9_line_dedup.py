@@ -1,14 +1,15 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap if they share a rare line: one in at least two and at most `rare` distinct texts. A line in more
-texts is taken with the line after it, so large groups of near copies and shared passages of several lines are found
-while a lone common line is no evidence. Each key pairs its documents with the smallest that holds it: pairs grow
-with the lines, not with the square of a group, and as every shared key has its own first holder, no overlap is
-missed. Pairs are aligned by patience diff on line hashes; blocks of consecutive aligned lines of `min_chars` bytes
-or more are deleted from the later document. All pairs are judged on the input. An exact copy loses all its lines.
+Documents overlap if they share a run of lines of `min_chars` bytes or more, in whatever number of texts: the least
+such runs that begin and that end at each line are keys, so every block that could be deleted holds a key. Each key
+pairs its documents with the smallest that holds it: pairs grow with the lines, not with the square of a group. Pairs
+are aligned by patience diff on line hashes; blocks of consecutive aligned lines of `min_chars` bytes or more are
+deleted from the later document. All pairs are judged on the input. An exact copy loses all its lines.
+
+`rare`, if given, is a rule for boilerplate: a run in more texts is no evidence alone, only with the line after it.
 
 Defined cases: null text has no lines; an empty text has one empty line and keeps it; rows that repeat a doc_id with
-the same text are one document and each gets the result; a null doc_id is left alone.
+the same text are one document and each gets the result; a null doc_id is left alone; a blank line counts no bytes.
 """
 
 from __future__ import annotations
@@ -17,13 +18,16 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ._common import as_batch, copies_of, documents, saved, without
+from ._words import U, _OF_WORDS, _prefix, mix
 
-RARE, MIN_CHARS = 100, 40
+MIN_CHARS = 40
 CUT = pa.schema([("doc_id", pa.int64()), ("other_id", pa.int64()), ("at", pa.list_(pa.int32()))])
+KEY = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("run", pa.int64())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("n_partners", pa.int64()), ("kept", pa.string())])
 
 
@@ -79,23 +83,65 @@ def common_blocks(a: list[int], b: list[int], size: list[int], least: int) -> li
     return gone
 
 
-def overlapping(seqs: DataFrame, rare: int) -> DataFrame:
+def runs(lines: np.ndarray, sizes: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last line and hash of the least runs of so many bytes that begin or end at each line.
+
+    lines, sizes: of all texts; at: where each begins, and the end."""
+    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    total = np.concatenate([[0], np.cumsum(np.where(lines == 0, 0, sizes))])
+    each = np.flatnonzero(lines)
+    last = np.searchsorted(total, total[each] + least, "left") - 1
+    ok = last < at[doc[each] + 1]
+    first = np.searchsorted(total, total[each + 1] - least, "right") - 1
+    ok2 = first >= at[doc[each]]
+    both = np.unique(np.stack([np.concatenate([each[ok], first[ok2]]), np.concatenate([last[ok], each[ok2]])]), axis=1)
+    return both[0], both[1], _hash(lines, both[0], both[1])
+
+
+def _hash(lines: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    total, down = _prefix(lines.view(U), _OF_WORDS)
+    with np.errstate(over="ignore"):
+        return mix((total[last + 1] - total[first]) * down[first] + (last - first).astype(U))
+
+
+def keys_of(seqs: DataFrame, least: int, couples: bool) -> DataFrame:
+    """doc_id, key, run: the hashes of its runs (run null) and, for couples, of each with the line after it (run: its own hash)."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, col = batch.column("doc_id").to_numpy(), batch.column("lines")
+            lines, sizes = (c.flatten().to_numpy(zero_copy_only=False) for c in (col, batch.column("sizes")))
+            at = np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy())]).astype(np.int64)
+            doc = np.repeat(np.arange(len(ids)), np.diff(at))
+            first, last, h = runs(lines, sizes, at, least)
+            own, run = ids[doc[first]], np.full(len(h), None, object)
+            if couples:
+                solid = np.append(np.flatnonzero(lines), len(lines))
+                after = solid[np.searchsorted(solid, last, "right")]
+                ok = after < at[doc[first] + 1]
+                run = np.concatenate([run, h[ok].view(np.int64).astype(object)])
+                own, h = np.concatenate([own, own[ok]]), np.concatenate([h, _hash(lines, first[ok], after[ok])])
+            yield as_batch(KEY, own, h.view(np.int64), run)
+
+    return seqs.mapInArrow(find, "doc_id long, key long, run long").distinct()
+
+
+def overlapping(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
     """doc_id, other_id (smaller) of documents that share a key."""
-    line = seqs.select("doc_id", F.explode(F.array_distinct(F.filter("lines", lambda x: x != 0))).alias("line"))
-    known = saved(line.groupBy("line").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1"), "lines")
-    by_line = line.join(known.where(F.col("n") <= rare), "line").select("doc_id", F.col("first_id").alias("other_id"))
-    solid = seqs.select("doc_id", F.filter("lines", lambda x: x != 0).alias("s"))
-    couple = solid.select("doc_id", F.explode(F.expr("arrays_zip(slice(s, 1, greatest(0, size(s) - 1)), slice(s, 2, size(s)))")).alias("c"))
-    couple = couple.toDF("doc_id", "c").select("doc_id", F.col("c")["0"].alias("line"), F.xxhash64(F.col("c")["0"], F.col("c")["1"]).alias("couple"))
-    couple = couple.join(known.where(F.col("n") > rare).select("line"), "line").select("doc_id", "couple").distinct()
-    couple = saved(couple, "couples")
-    first = couple.groupBy("couple").agg(F.count("*").alias("n"), F.min("doc_id").alias("other_id")).where("n > 1")
-    first = saved(first, "first-couples")  # so that the join below can split a hot couple
-    by_couple = couple.join(first, "couple").select("doc_id", "other_id")
-    return by_line.unionByName(by_couple).where("doc_id > other_id").distinct()
-
-
-def line_dedup(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, others: tuple[str, ...] = ()) -> DataFrame:
+    keys = saved(keys_of(seqs, least, rare is not None), "keys")
+    known = lambda k, name: saved(k.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("other_id")).where("n > 1"), name)
+    first = known(keys.where("run is null").select("doc_id", "key"), "lines")  # written, so that the join below can split a hot key
+    own = keys.where("run is null").select("doc_id", "key")
+    if rare is None:
+        shared = own.join(first, "key")
+    else:
+        common = first.where(F.col("n") > rare).select(F.col("key").alias("run"))
+        couple = saved(keys.join(common, "run").select("doc_id", "key").distinct(), "couples")
+        shared = own.join(first.where(F.col("n") <= rare), "key").unionByName(couple.join(known(couple, "first-couples"), "key"))
+    return shared.where("doc_id > other_id").select("doc_id", "other_id").distinct()
+
+
+def line_dedup(docs: DataFrame, rare: int | None = None, min_chars: int = MIN_CHARS, others: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_lines, n_removed, n_partners (earlier documents aligned with), kept: the text without the deleted lines.
 
     others: columns of docs to hand on."""
@@ -105,10 +151,10 @@ def line_dedup(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, ot
     blank = "length(trim(both ' \\t\\r\\u000b\\u000c' from x)) = 0"
     seqs = saved(
         firsts.select("doc_id", F.split("text", "\n", -1).alias("l"))
-        .select("doc_id", F.expr(f"transform(l, x -> case when {blank} then 0L else xxhash64(x) end)").alias("lines"), F.expr("transform(l, x -> octet_length(x))").alias("sizes")),
+        .select("doc_id", F.expr(f"transform(l, x -> case when {blank} then 0L else xxhash64(x) end)").alias("lines"), F.expr(f"transform(l, x -> case when {blank} then 0 else octet_length(x) end)").alias("sizes")),
         "sequences",
     )
-    pairs = overlapping(seqs, rare)
+    pairs = overlapping(seqs, rare, min_chars)
     later = seqs.withColumnRenamed("lines", "b")
     earlier = seqs.select(F.col("doc_id").alias("other_id"), F.col("lines").alias("a"))
 

@@ -374,6 +374,13 @@ def test_op9_large_group_of_near_copies(spark):
     assert got[0].n_removed == 0 and all(got[i].n_removed >= 8 for i in range(1, 40))
 
 
+def test_op9_common_line_of_many_texts(spark):
+    common, half = say(14), ["short line one of two", "short line two of two"]
+    texts = ["\n".join([say(14), common, say(14)]) for _ in range(120)] + ["\n".join([say(14), *half, say(14)]) for _ in range(120)]
+    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows(texts), SCHEMA)).collect()}
+    assert [got[i].n_removed for i in range(240)] == [0] + [1] * 119 + [0] + [2] * 119
+
+
 def slow_url(url):
     if url is None or "://" not in url:
         return "", "", None, None
