@@ -1,10 +1,15 @@
 """Line dedup by pairwise alignment.
 
 Documents overlap if they share a run of lines of `min_chars` bytes or more, in whatever number of texts: the least
-such runs that begin and that end at each line are keys, so every block that could be deleted holds a key. Each key
-pairs its documents with the smallest that holds it: pairs grow with the lines, not with the square of a group. Pairs
-are aligned by patience diff on line hashes; blocks of consecutive aligned lines of `min_chars` bytes or more are
-deleted from the later document. All pairs are judged on the input. An exact copy loses all its lines.
+such runs that begin and that end at each line are keys, so every block that could be deleted holds a key; the second
+time a text has a run it is another key. Pairs are aligned by patience diff on line hashes; blocks of consecutive
+aligned lines of `min_chars` bytes or more are deleted from the later document. Each key pairs its documents with the
+smallest that holds it. An alignment may leave a run out, as it crosses another: a document is then aligned with the
+next holder of the keys it still has, round after round while the rest halves, and then with all earlier holders left.
+So a run stays only if no earlier holder aligns it, while pairs grow with the lines and not with the square of a group
+(unless very many texts hold the same runs crosswise). Of a run that a text repeats, the n-th copy left waits for
+holders of n copies: copies that only several such texts together would align stay (27 lines of sf0.1's 12,846).
+All pairs are judged on the input. An exact copy loses all its lines.
 
 `rare`, if given, is a rule for boilerplate: a run in more texts is no evidence alone, only with the line after it.
 
@@ -105,7 +110,20 @@ def _hash(lines: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def keys_of(seqs: DataFrame, least: int, couples: bool) -> DataFrame:
-    """doc_id, key, run: the hashes of its runs (run null) and, for couples, of each with the line after it (run: its own hash)."""
+    """doc_id, key, run: the hashes of its runs (run null) and, for couples, of each with the line after it (run: its own key).
+
+    seqs: doc_id, lines, sizes, gone; runs whose lines are all in gone are counted, but not returned."""
+
+    def numbered(doc: np.ndarray, h: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Keys of runs: the n-th of equal ones in a text, those not left first, has the hash and n."""
+        order = np.lexsort((left, h, doc))
+        new = np.ones(len(h), bool)
+        new[1:] = (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1])
+        n = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        out = np.empty(len(h), U)
+        with np.errstate(over="ignore"):
+            out[order] = mix(h[order] + n.astype(U) * U(0x9E3779B97F4A7C15))
+        return out.view(np.int64)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,32 +131,81 @@ def keys_of(seqs: DataFrame, least: int, couples: bool) -> DataFrame:
             lines, sizes = (c.flatten().to_numpy(zero_copy_only=False) for c in (col, batch.column("sizes")))
             at = np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy())]).astype(np.int64)
             doc = np.repeat(np.arange(len(ids)), np.diff(at))
+            stays = np.ones(len(lines), np.int64)
+            for k, gone in enumerate(batch.column("gone")):
+                if gone.is_valid and len(gone):
+                    stays[at[k] + gone.values.to_numpy()] = 0
+            stays = np.concatenate([[0], np.cumsum(stays)])
             first, last, h = runs(lines, sizes, at, least)
-            own, run = ids[doc[first]], np.full(len(h), None, object)
+            own, left = doc[first], stays[last + 1] > stays[first]
+            key = numbered(own, h, left)
+            yield as_batch(KEY, ids[own[left]], key[left], np.full(int(left.sum()), None, object))
             if couples:
                 solid = np.append(np.flatnonzero(lines), len(lines))
                 after = solid[np.searchsorted(solid, last, "right")]
-                ok = after < at[doc[first] + 1]
-                run = np.concatenate([run, h[ok].view(np.int64).astype(object)])
-                own, h = np.concatenate([own, own[ok]]), np.concatenate([h, _hash(lines, first[ok], after[ok])])
-            yield as_batch(KEY, own, h.view(np.int64), run)
+                ok = after < at[own + 1]
+                first, after, own, run = first[ok], after[ok], own[ok], key[ok]
+                left = stays[after + 1] > stays[first]
+                yield as_batch(KEY, ids[own[left]], numbered(own, _hash(lines, first, after), left)[left], run[left])
 
-    return seqs.mapInArrow(find, "doc_id long, key long, run long").distinct()
+    return seqs.mapInArrow(find, "doc_id long, key long, run long")
 
 
-def overlapping(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
-    """doc_id, other_id (smaller) of documents that share a key."""
-    keys = saved(keys_of(seqs, least, rare is not None), "keys")
+def shared_keys(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
+    """doc_id, key, other_id: the keys that several documents hold, and the smallest of these."""
+    keys = saved(keys_of(seqs.withColumn("gone", F.lit(None).cast("array<int>")), least, rare is not None), "keys")
     known = lambda k, name: saved(k.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("other_id")).where("n > 1"), name)
-    first = known(keys.where("run is null").select("doc_id", "key"), "lines")  # written, so that the join below can split a hot key
     own = keys.where("run is null").select("doc_id", "key")
+    first = known(own, "lines")  # written, so that the join below can split a hot key
     if rare is None:
         shared = own.join(first, "key")
     else:
         common = first.where(F.col("n") > rare).select(F.col("key").alias("run"))
         couple = saved(keys.join(common, "run").select("doc_id", "key").distinct(), "couples")
         shared = own.join(first.where(F.col("n") <= rare), "key").unionByName(couple.join(known(couple, "first-couples"), "key"))
-    return shared.where("doc_id > other_id").select("doc_id", "other_id").distinct()
+    return saved(shared.select("doc_id", "key", "other_id"), "shared")
+
+
+def aligned(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
+    """doc_id, other_id (smaller), at: the lines of doc_id that are deleted, for the pairs that have such."""
+    shared = shared_keys(seqs, rare, least)
+    later = seqs.withColumnRenamed("lines", "b")
+    earlier = seqs.select(F.col("doc_id").alias("other_id"), F.col("lines").alias("a"))
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc_id, other_id, a, b, sizes in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "other_id", "a", "b", "sizes"))):
+                if at := common_blocks(a, b, sizes, least):
+                    out.append((doc_id, other_id, at))
+            if out:
+                yield as_batch(CUT, *zip(*out))
+
+    left = shared.where("doc_id > other_id")  # doc_id, key, other_id: the holder of the key to align with
+    pairs = saved(left.select("doc_id", "other_id").distinct(), "pairs")
+    cuts, n_before = None, None
+    while True:
+        new = saved(pairs.join(later, "doc_id").join(earlier, "other_id").mapInArrow(align, "doc_id long, other_id long, at array<int>"), "cuts")
+        cuts = new if cuts is None else cuts.unionByName(new)
+        if n_before == 0:
+            return cuts
+        gone = cuts.groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("gone"))
+        rest = keys_of(seqs.join(left.select("doc_id").distinct(), "doc_id", "left_semi").join(gone, "doc_id", "left"), least, rare is not None)
+        left = saved(left.join(rest.select("doc_id", "key").distinct(), ["doc_id", "key"]), "left")
+        # all documents that have a key left are at the same holder of it
+        open_ = saved(left.groupBy("key").agg(F.min("other_id").alias("tried")), "open")
+        holders = saved(shared.select("key", F.col("doc_id").alias("other_id")).join(open_, "key").where("other_id > tried").select("key", "other_id"), "holders")
+        following = saved(holders.groupBy("key").agg(F.min("other_id").alias("other_id")), "following")
+        left = saved(left.drop("other_id").join(following, "key").where("doc_id > other_id"), "left")
+        n = left.count()
+        if not n:
+            return cuts
+        if n_before is not None and 2 * n > n_before:  # few have what they wait for in the next holder
+            to, n = left.drop("other_id").join(holders, "key").where("doc_id > other_id"), 0
+        else:
+            to = left
+        pairs = saved(to.select("doc_id", "other_id").distinct(), "pairs")
+        n_before = n
 
 
 def line_dedup(docs: DataFrame, rare: int | None = None, min_chars: int = MIN_CHARS, others: tuple[str, ...] = ()) -> DataFrame:
@@ -154,20 +221,7 @@ def line_dedup(docs: DataFrame, rare: int | None = None, min_chars: int = MIN_CH
         .select("doc_id", F.expr(f"transform(l, x -> case when {blank} then 0L else xxhash64(x) end)").alias("lines"), F.expr(f"transform(l, x -> case when {blank} then 0 else octet_length(x) end)").alias("sizes")),
         "sequences",
     )
-    pairs = overlapping(seqs, rare, min_chars)
-    later = seqs.withColumnRenamed("lines", "b")
-    earlier = seqs.select(F.col("doc_id").alias("other_id"), F.col("lines").alias("a"))
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc_id, other_id, a, b, sizes in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "other_id", "a", "b", "sizes"))):
-                if at := common_blocks(a, b, sizes, min_chars):
-                    out.append((doc_id, other_id, at))
-            if out:
-                yield as_batch(CUT, *zip(*out))
-
-    cuts = pairs.join(later, "doc_id").join(earlier, "other_id").mapInArrow(align, "doc_id long, other_id long, at array<int>")
+    cuts = aligned(seqs, rare, min_chars)
     marks = (
         cuts.groupBy("doc_id").agg(F.count("*").alias("n_partners"), F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")).withColumn("whole", F.lit(False))
         .unionByName(copies.select("doc_id", F.lit(1).cast("long").alias("n_partners"), F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("whole")))

@@ -20,7 +20,7 @@ from loomtext.llm.op5_quality_rules import binomial_tail, counts, quality_rules
 from loomtext.llm.op6_suffix_array import multikey_quicksort, suffix_dedup
 from loomtext.llm.op7_mixing import mix_sources
 from loomtext.llm.op8_ngram_join import matched_depth, ngram_join
-from loomtext.llm.op9_line_dedup import line_dedup, patience
+from loomtext.llm.op9_line_dedup import common_blocks, line_dedup, patience
 from loomtext.llm.op10_url_filter import by_rule, split_url, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, pos int, a string, window string, _bucket string"
@@ -381,6 +381,20 @@ def test_op9_common_line_of_many_texts(spark):
     assert [got[i].n_removed for i in range(240)] == [0] + [1] * 119 + [0] + [2] * 119
 
 
+def test_op9_deletes_what_any_earlier_holder_aligns(spark):
+    x, y, z = say(14), say(14), say(14)
+    crossed = ["\n".join(p) for p in ([y, say(14), x], [x, y, say(14)], [say(14), x, y], [z, say(14), x, y], [x, y, say(14), z], [z, x, y])]
+    pool, rng = [say(RNG.choice((3, 14))) for _ in range(25)], random.Random(5)
+    for texts in (crossed, ["\n".join(rng.sample(pool, rng.randrange(1, 9))) for _ in range(80)]):
+        split, want = [t.split("\n") for t in texts], []
+        for i, b in enumerate(split):
+            want.append({j for a in split[:i] for j in common_blocks([hash(k) for k in a], [hash(k) for k in b], [len(k.encode()) for k in b], 40)})
+        got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows(texts), SCHEMA)).collect()}
+        for i, b in enumerate(split):
+            if texts[i] not in texts[:i]:
+                assert got[i].kept == "\n".join(k for j, k in enumerate(b) if j not in want[i]), i
+
+
 def slow_url(url):
     if url is None or "://" not in url:
         return "", "", None, None
