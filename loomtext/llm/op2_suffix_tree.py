@@ -14,12 +14,18 @@ which counts the training tokens of its words and returns sums of log counts for
 parameters (1 / MIN_SHARE contexts a level) and broadcast; its counts come from all training tokens. Words are told
 apart by 64-bit hashes.
 
+Above it the tree goes on over words, and grows with the corpus: the 1 to DEPTH words before a token are a context if
+training tokens follow it MIN_COUNT times, and it is retained by the same divergence test against what the shorter
+contexts gave. Each retained context from the shortest on smooths its next-word counts towards the probability before
+it. Contexts and next words are counted in tables partitioned by their hashes and joined with the tokens, not broadcast.
+
 Defined cases: a null or blank text is the end token alone; no training document gives uniform scores; rows that
 repeat a doc_id are scored each, and train as often as they stand there; a null doc_id is scored and held out.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +37,7 @@ from ._common import as_batch, parts, saved, small_batches, text_bytes
 from ._words import LOWER, U, hashes, mix, pieces, words
 
 MAX_SYMBOLS, MAX_COMMON, CLASSES, DEPTH, MIN_SHARE, STRENGTH, FOLDS, HELD = 256, 1 << 16, 64, 3, 1e-3, 20.0, 5, 1
+MIN_COUNT = 2
 END = 0  # the symbols: the end, the classes, the words
 END_HASH = U(0xE0D0E0D0E0D0E0D1)
 TOP = pa.schema([("word", pa.int64()), ("tail", pa.int32()), ("n", pa.int64()), ("tokens", pa.int64())])
@@ -45,6 +52,8 @@ SENT = pa.schema(
 SENT_SQL = "part int, row long, doc_id long, held_out boolean, n_tokens long, tree double, base double, known long, rare double, many array<long>, rows binary, words binary, counts binary, classes binary, trains binary"
 #: Sums of some rows' words, or (bucket -1 - class) the training tokens and distinct words of a class.
 SUM = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("base", pa.binary()), ("known", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
+TOKEN = pa.schema([("row", pa.int64()), ("word", pa.int64()), *((f"x{k}", pa.int64()) for k in range(1, DEPTH + 1)), ("train", pa.bool_()), ("kind", pa.int32()), ("far", pa.bool_()), ("p", pa.float64())])
+TOKEN_SQL = "row long, word long, " + "".join(f"x{k} long, " for k in range(1, DEPTH + 1)) + "train boolean, kind int, far boolean, p double"
 FAR = pa.schema([("row", pa.int64()), ("far", pa.float64()), ("far_known", pa.int64())])
 
 
@@ -231,11 +240,37 @@ def _frequent(level_counts: dict, ctx: tuple, n_tokens: int) -> bool:
     return before is not None and before[ctx[-1]] >= max(1, MIN_SHARE * n_tokens)
 
 
+def deepened(tokens: DataFrame) -> DataFrame:
+    """row, deeper: what the word contexts add to log10 P, summed. tokens: row, word, x1 (the word before), x2, ..., train, p."""
+    t = tokens.withColumn("p0", F.col("p"))
+    sums = []
+    for k in range(1, DEPTH + 1):
+        t = t.where(f"x{k} is not null").withColumn("c", F.xxhash64(*[f"x{i}" for i in range(1, k + 1)])).withColumn("g", F.xxhash64("c", "word"))
+        t = saved(t, "tokens")
+        pair = saved(t.where("train").groupBy("c", "g").agg(F.count("*").alias("n"), F.sum(F.col("p") * math.log(10)).alias("before")), "next-words")
+        context = pair.groupBy("c").agg(F.sum("n").alias("total"), F.count("*").alias("types"), F.sum(F.col("n") * F.log("n")).alias("own"), F.sum("before").alias("before")).where(F.col("total") >= MIN_COUNT)
+        context = saved(context.select("c", "total", (F.expr("own - total * ln(total) - before > types")).alias("retained")), "contexts")
+        n = saved(pair.join(context.where("retained").select("c"), "c", "left_semi").select("g", "n"), "retained")
+        mine = F.log10((F.coalesce("n", F.lit(0)) + STRENGTH * F.pow(F.lit(10.0), "p")) / (F.col("total") + STRENGTH))
+        # a context seen too seldom has no longer one seen more often: its tokens are done
+        t = t.join(context, "c", "left").join(n, "g", "left").withColumn("p", F.when(F.col("retained"), mine).otherwise(F.col("p")))
+        longer = f"x{k + 1} is not null and total is not null" if k < DEPTH else "false"
+        t = saved(t.withColumn("longer", F.expr(longer)).drop("c", "g", "n", "total", "retained"), "tokens")
+        sums.append(t.where("not longer").groupBy("row").agg(F.sum(F.col("p") - F.col("p0")).alias("deeper")))
+        t = t.where("longer").drop("longer")
+    out = sums[0]
+    for x in sums[1:]:
+        out = out.unionByName(x)
+    return out.groupBy("row").agg(F.sum("deeper").alias("deeper"))
+
+
 def suffix_tree_scores(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # the row's number is drawn once and written, so heads, parcels and tokens agree on it
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "rows", "zstd")
     symbols, tree, _ = learn(rows)
     n_parts = parts(spark, text_bytes(rows), 8e6)
     model = spark.sparkContext.broadcast((symbols, tree))
@@ -312,8 +347,29 @@ def suffix_tree_scores(docs: DataFrame) -> DataFrame:
         row, at = np.unique(read("rows", np.int64), return_inverse=True)
         yield as_batch(FAR, row, np.bincount(at, weights=read("base", np.float64)), np.bincount(at, weights=read("known", np.int64)).astype(np.int64))
 
-    # the row's number is drawn once and written, so heads and parcels agree on it
-    sent = saved(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(score, SENT_SQL), "scores")
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sym, tr = model.value
+        log_count = np.log10(sym.count + 0.5)
+        for batch in batches:
+            row = batch.column("row").to_numpy()
+            train = np.array([in_training(x) for x in batch.column("doc_id").to_pylist()], bool)
+            for lo, n, h, tail, doc in tokens(batch):
+                s, place, word = sym.of(h, tail), sym.place(h), h.view(np.int64)
+                common, rare = place >= 0, (s >= 1) & (s <= CLASSES)
+                before = []
+                for k in range(1, DEPTH + 1):
+                    ok = np.zeros(len(h), bool)
+                    ok[k:] = doc[k:] == doc[:-k]
+                    x = np.zeros(len(h), np.int64)
+                    x[k:] = word[:-k]
+                    before.append(pa.array(x, pa.int64(), mask=~ok))
+                kind = pa.array((s - 1).astype(np.int32), pa.int32(), mask=~rare)
+                p = tr.score(s, doc) + np.where(rare & common, log_count[place], 0.0)
+                whole = as_batch(TOKEN, row[lo : lo + n][doc], word, *before, train[lo : lo + n][doc], kind, ~common, p)
+                for at in range(0, len(h), 50_000):
+                    yield whole.slice(at, 50_000)
+
+    sent = saved(rows.mapInArrow(score, SENT_SQL), "scores")
     parcels_of = sent.where("part >= 0").select("part", "rows", "words", "counts", "classes", "trains")
     sums = saved(parcels_of.repartition(n_parts, "part").mapInArrow(gather, "bucket int, rows binary, base binary, known binary, tokens long, types long"), "words")
     n, v = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
@@ -326,11 +382,16 @@ def suffix_tree_scores(docs: DataFrame) -> DataFrame:
     rest = [float(x) for x in np.log10(n[:CLASSES] + 0.5 * (v[:CLASSES] + 1))]
     loss = F.aggregate(F.zip_with("many", F.array(*[F.lit(x) for x in rest]), lambda m, x: m * x), F.lit(0.0), lambda a, b: a + b)
     of_row = sums.where("bucket >= 0").select("bucket", "rows", "base", "known").repartition(n_parts, "bucket").mapInArrow(add, "row long, far double, far_known long")
+    each_token = saved(rows.mapInArrow(each, TOKEN_SQL), "tokens")
+    far_words = saved(each_token.where("far").groupBy("word").agg(F.log10(F.sum(F.col("train").cast("int")) + 0.5).alias("own")), "far-words")
+    of_class = F.element_at(F.array(*[F.lit(x) for x in rest]), F.col("kind") + 1)
+    priced = each_token.where("not far").withColumn("own", F.lit(0.0)).unionByName(each_token.where("far").join(far_words, "word"))
+    priced = priced.withColumn("p", F.col("p") + F.col("own") - F.when(F.col("kind").isNull(), 0.0).otherwise(of_class)).drop("own", "kind", "far")
     heads = sent.where("part < 0").select("row", "doc_id", "held_out", "n_tokens", "tree", "base", "known", (F.col("rare") - loss).alias("rare"))
     far = F.coalesce("far", F.lit(0.0))
-    return heads.join(of_row, "row", "left").select(
+    return heads.join(of_row, "row", "left").join(deepened(priced), "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("far_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + far - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (types + 1))))).alias("base_score"), (F.col("tree") + F.col("rare") + far).alias("score"),
+        (F.col("base") + far - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (types + 1))))).alias("base_score"), (F.col("tree") + F.col("rare") + far + F.coalesce("deeper", F.lit(0.0))).alias("score"),
     )
 
 

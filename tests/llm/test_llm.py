@@ -162,6 +162,18 @@ def test_op2_beats_the_base_on_held_out_texts(spark, sf):
     assert got[0] > got[1]
 
 
+def test_op2_learns_a_rare_repeated_passage(spark):
+    passage = " ".join(f"rare{i}word" for i in range(40))
+    shuffled = passage.split(" ")
+    random.Random(3).shuffle(shuffled)
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    texts = [say(200) + ("" if i in held or i % 40 else " " + passage) for i in range(400)]
+    texts[held[0]], texts[held[1]] = passage, " ".join(shuffled)
+    got = {r.doc_id: r for r in suffix_tree_scores(spark.createDataFrame(rows(texts), SCHEMA)).collect()}
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score)
+    assert got[held[0]].score > got[held[1]].score + 20
+
+
 def test_op3_learns_held_out_languages_and_switches(spark, sf, docs, none):
     real = spark.read.parquet(f"{sf}/documents.parquet")
     got = identify(real).join(real.select("doc_id", "lang"), "doc_id").where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
