@@ -53,17 +53,22 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         where = {x: j for j, x in enumerate(b[b0:b1], b0) if x and in_b[x] == 1}
         pairs = [(i, where[x]) for i, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and x in where]
-        if not pairs:
-            continue
-        ends, at, back = [], [], []  # longest increasing run of the second positions
-        for k, (_, j) in enumerate(pairs):
+        if not pairs:  # a plain longest common subsequence: all equal lines, the later positions of one line first
+            spots = {}
+            for j in range(b1 - 1, b0 - 1, -1):
+                spots.setdefault(b[j], []).append(j)
+            pairs = ((i, j) for i, x in enumerate(a[a0:a1], a0) if x for j in spots.get(x, ()))
+        ends, heads = [], []  # longest increasing run of the second positions; heads: (i, j, head before)
+        for i, j in pairs:
             n = bisect_left(ends, j)
-            back.append(at[n - 1] if n else -1)
-            ends[n:n + 1], at[n:n + 1] = [j], [k]
-        k, chain = at[-1], []
-        while k >= 0:
-            chain.append(pairs[k])
-            k = back[k]
+            if n == len(ends) or ends[n] != j:
+                ends[n:n + 1], heads[n:n + 1] = [j], [(i, j, heads[n - 1] if n else None)]
+        if not heads:
+            continue
+        head, chain = heads[-1], []
+        while head:
+            chain.append(head[:2])
+            head = head[2]
         i0, j0 = a0, b0
         for i, j in reversed(chain):
             todo.append((i0, i, j0, j))

@@ -366,6 +366,11 @@ def test_patience_is_a_common_subsequence():
     assert patience([1, 2, 3, 4], [9, 1, 2, 8, 3, 4]) == [(0, 1), (1, 2), (2, 4), (3, 5)]
 
 
+def test_patience_aligns_repeated_lines():
+    assert len(patience([7, 1, 2, 1, 2, 8], [9, 1, 2, 1, 2, 1, 2, 6])) == 4
+    assert patience([7, 0, 0, 8], [9, 0, 0, 0, 6]) == []
+
+
 def test_op9(spark, docs, none):
     shared = [say(14) for _ in range(6)]
     common = say(14)
