@@ -41,38 +41,51 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def documents(docs: DataFrame, *others: str) -> DataFrame:
-    """doc_id, text and the named columns alone, whatever other columns there are."""
+    """doc_id, text, text_key and the named columns alone, whatever other columns there are.
+
+    A row is known by doc_id and text_key, a hash of its text: rows that repeat a doc_id with other texts are told apart."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *others)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"), *others)
 
 
 def copies_of(docs: DataFrame) -> DataFrame:
-    """doc_id, first_id for each document whose text is that of a document with a smaller doc_id (first_id: the smallest)."""
-    keyed = saved(docs.where("text is not null and doc_id is not null").select("doc_id", F.unhex(F.md5("text")).alias("h")), "texts")
+    """doc_id, text_key, first_id of each row whose text is that of a row with a smaller doc_id (first_id: the smallest)."""
+    keyed = saved(docs.where("text is not null and doc_id is not null").select("doc_id", "text_key", F.unhex(F.md5("text")).alias("h")), "texts")
     first = keyed.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").drop("last_id")
     first = saved(first, "firsts")  # read from a table both sides of the join are plain exchanges, so a hot key can be split
-    return saved(keyed.join(first, "h").where("doc_id > first_id").select("doc_id", "first_id").distinct(), "copies")
+    return saved(keyed.join(first, "h").where("doc_id > first_id").select("doc_id", "text_key", "first_id").distinct(), "copies")
+
 
+def _bucket():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(COPY_BUCKETS))
 
-def without(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """docs less those listed in copies, with no shuffle of the texts that are surely not listed.
 
-    A broadcast table of the copies' hash buckets (COPY_BUCKETS rows at most) parts the documents; those in a
-    listed bucket go through an exact anti join."""
+def without(docs: DataFrame, listed: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """docs less the rows listed (a written table with the columns of keys, doc_id among them).
+
+    While the list is shorter than COPY_BUCKETS, a broadcast table of its hash buckets parts the documents, so that
+    texts that are surely not listed are not shuffled; a longer list is an anti join."""
     name = "_bucket_of_doc"
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_BUCKETS)).alias(name)
-    listed = F.broadcast(copies.select(bucket).distinct())
-    keyed = docs.withColumn(name, F.when(F.col("doc_id").isNotNull(), bucket).otherwise(-1))
-    sure = keyed.join(listed, name, "left_anti").drop(name)
-    rest = keyed.join(listed, name, "left_semi").drop(name).join(copies.select("doc_id"), "doc_id", "left_anti")
+    own = listed.select(*keys)
+    if own.count() > COPY_BUCKETS:
+        return docs.join(own, list(keys), "left_anti")
+    buckets = F.broadcast(own.select(_bucket().alias(name)).distinct())
+    keyed = docs.withColumn(name, F.when(F.col("doc_id").isNotNull(), _bucket()).otherwise(-1))
+    sure = keyed.join(buckets, name, "left_anti").drop(name)
+    rest = keyed.join(buckets, name, "left_semi").drop(name).join(own, list(keys), "left_anti")
     return sure.unionByName(rest)
 
 
 def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents listed in ids and a few others that share their hash buckets; no text is shuffled."""
+    """The documents listed in ids (a written table) and some others; no text is shuffled.
+
+    A list shorter than COPY_BUCKETS is held against hash buckets, a longer one passes all: the caller joins."""
     name = "_bucket_of_doc"
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_BUCKETS)).alias(name)
-    return docs.withColumn(name, bucket).join(F.broadcast(ids.select(bucket).distinct()), name, "left_semi").drop(name)
+    own = ids.select("doc_id").distinct()
+    if own.count() > COPY_BUCKETS:
+        return docs
+    return docs.withColumn(name, _bucket()).join(F.broadcast(own.select(_bucket().alias(name)).distinct()), name, "left_semi").drop(name)
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -7,8 +7,9 @@ anchor is estimated to be in two documents or more, and groups those by their ha
 a full sketch passes more windows, never fewer. Exact copies of a text are set aside first, as all their windows
 start in the first copy.
 
-Defined cases: null text has no words; a text under 50 words has no window; rows that repeat a doc_id with the same
-text are one document and each gets the result; a null doc_id neither removes nor is removed from.
+Defined cases: null text has no words; a text under 50 words has no window; rows that repeat a doc_id are judged each
+on its own text, and neither removes from the other (the same text gets the same result); a null doc_id neither
+removes nor is removed from.
 """
 
 from __future__ import annotations
@@ -25,19 +26,18 @@ from ._common import as_batch, copies_of, documents, saved, text_bytes, without
 from ._words import U, grams, hashes, mix, pieces, slide_min, words
 
 WINDOW, GRAM = 50, 25
-OCCURRENCE = pa.schema([("window", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
+OCCURRENCE = pa.schema([("window", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
 RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string, kept_sha256 string"
 
 
 def _anchored(batch: pa.RecordBatch, n: int, gram: int):
     """For each piece of the batch: the words' hashes, the words, each window's anchor and whether it lies in one text."""
-    ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
     for p in pieces(batch.column("text")):
         w = words(p)
         h = hashes(p, w)
         if len(h) >= n:
             anchor = slide_min(grams(h, gram), n - gram + 1)
-            yield ids[p.lo : p.hi], h, w, anchor, w.doc[: len(anchor)] == w.doc[n - 1 :]
+            yield p, h, w, anchor, w.doc[: len(anchor)] == w.doc[n - 1 :]
 
 
 def _distinct(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -51,7 +51,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     spark = docs.sparkSession
     docs = documents(docs)
     copies = copies_of(docs)
-    firsts = without(docs, copies).where("doc_id is not null and text is not null")
+    firsts = without(docs, copies, ("doc_id", "text_key")).where("doc_id is not null and text is not null")
     bits = _sketch.bits_for(text_bytes(docs) / 6 * 2 / (window - gram + 2))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,21 +66,22 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, h, w, anchor, ok in _anchored(batch, window, gram):
+            ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "text_key"))
+            for p, h, w, anchor, ok in _anchored(batch, window, gram):
                 run = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1])
                 hit = _sketch.repeated(seen.value, anchor[run], bits)
                 at = np.flatnonzero(np.repeat(hit, np.diff(np.append(run, len(anchor)))) & ok)
                 if len(at):
                     doc = w.doc[at]
-                    yield as_batch(OCCURRENCE, grams(h, window)[at].view(np.int64), ids[doc], (at - w.first[doc]).astype(np.int32))
+                    yield as_batch(OCCURRENCE, grams(h, window)[at].view(np.int64), ids[p.lo + doc], keys[p.lo + doc], (at - w.first[doc]).astype(np.int32))
 
-    found = saved(firsts.mapInArrow(occurrences, "window long, doc_id long, pos int"), "windows")
+    found = saved(firsts.mapInArrow(occurrences, "window long, doc_id long, text_key long, pos int"), "windows")
     shared = found.groupBy("window").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").drop("last_id")
     shared = saved(shared, "shared")  # so that the join below can split the rows of a hot window
     hits = found.join(shared, "window").where("doc_id > first_id")
     marks = (
-        hits.groupBy("doc_id").agg(F.collect_set("pos").alias("at")).withColumn("whole", F.lit(False))
-        .unionByName(copies.select("doc_id", F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("whole")))
+        hits.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("at")).withColumn("whole", F.lit(False))
+        .unionByName(copies.select("doc_id", "text_key", F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("whole")))
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +106,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
             if out:
                 yield as_batch(RESULT_ARROW, *zip(*out))
 
-    return docs.join(marks, "doc_id", "left").mapInArrow(cut, RESULT)
+    return docs.join(marks, ["doc_id", "text_key"], "left").mapInArrow(cut, RESULT)
 
 
 RESULT_ARROW = pa.schema(

@@ -1,20 +1,19 @@
 """Line dedup by pairwise alignment.
 
 Documents overlap if they share a run of lines of `min_chars` bytes or more, in whatever number of texts: the least
-such runs that begin and that end at each line are keys, so every block that could be deleted holds a key; the second
-time a text has a run it is another key. Pairs are aligned by patience diff on line hashes; blocks of consecutive
-aligned lines of `min_chars` bytes or more are deleted from the later document. Each key pairs its documents with the
-smallest that holds it. An alignment may leave a run out, as it crosses another: a document is then aligned with the
-next holder of the keys it still has, round after round while the rest halves, and then with all earlier holders left.
-So a run stays only if no earlier holder aligns it, while pairs grow with the lines and not with the square of a group
-(unless very many texts hold the same runs crosswise). Of a run that a text repeats, the n-th copy left waits for
-holders of n copies: copies that only several such texts together would align stay (27 lines of sf0.1's 12,846).
-All pairs are judged on the input. An exact copy loses all its lines.
+such runs that begin and that end at each line are keys, so every block that could be deleted holds a key. Each key
+pairs its documents with the smallest that holds it, so pairs grow with the lines and not with the square of a group.
+A pair is aligned by patience diff on line hashes; blocks of consecutive aligned lines of `min_chars` bytes or more
+are deleted from the later document. What an alignment leaves out because it crosses another block, or because the
+later document repeats it, is aligned next: each run of `min_chars` bytes that is left in the later document and that
+the earlier one holds is an anchor of its own and is extended both ways. So after a pair no such run is left, and as
+each run has its smallest holder among the pairs, no run of that size that any earlier document holds stays whole in
+a later one. All pairs are judged on the input. An exact copy loses all its lines.
 
 `rare`, if given, is a rule for boilerplate: a run in more texts is no evidence alone, only with the line after it.
 
-Defined cases: null text has no lines; an empty text has one empty line and keeps it; rows that repeat a doc_id with
-the same text are one document and each gets the result; a null doc_id is left alone; a blank line counts no bytes.
+Defined cases: null text has no lines; an empty text has one empty line and keeps it; rows that repeat a doc_id are
+judged each on its own text, none against the other; a null doc_id is left alone; a blank line counts no bytes.
 """
 
 from __future__ import annotations
@@ -31,8 +30,8 @@ from ._common import as_batch, copies_of, documents, saved, without
 from ._words import U, _OF_WORDS, _prefix, mix
 
 MIN_CHARS = 40
-CUT = pa.schema([("doc_id", pa.int64()), ("other_id", pa.int64()), ("at", pa.list_(pa.int32()))])
-KEY = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("run", pa.int64())])
+CUT = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("at", pa.list_(pa.int32()))])
+KEY = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("key", pa.int64()), ("run", pa.int64())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("n_partners", pa.int64()), ("kept", pa.string())])
 
 
@@ -78,8 +77,19 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _least_run(lines: list, size: list[int], i: int, least: int) -> tuple:
+    """The lines from i on that first reach so many bytes; () if they do not, or if one of them is None."""
+    total, j = 0, i
+    while total < least:
+        if j == len(lines) or lines[j] is None:
+            return ()
+        total += size[j]
+        j += 1
+    return tuple(lines[i:j])
+
+
 def common_blocks(a: list[int], b: list[int], size: list[int], least: int) -> list[int]:
-    """Positions in b of the aligned blocks of at least so many bytes; size: of b's lines."""
+    """Positions in b of its blocks of at least so many bytes that are aligned with a; size: of b's lines."""
     gone: list[int] = []
     block: list[int] = []
     last = (-2, -2)
@@ -90,6 +100,24 @@ def common_blocks(a: list[int], b: list[int], size: list[int], least: int) -> li
             block = []
         block.append(j)
         last = (i, j)
+    left: list = list(b)
+    for j in gone:
+        left[j] = None
+    # what is left and held by a too: moved and repeated blocks
+    where: dict[int, list[int]] = {}
+    for i, x in enumerate(a):
+        where.setdefault(x, []).append(i)
+    for j in range(len(b)):
+        run = _least_run(left, size, j, least) if left[j] and left[j] in where else ()
+        at = next((i for i in where[run[0]] if tuple(a[i : i + len(run)]) == run), None) if run else None
+        if at is not None:
+            lo, hi, i, e = j, j + len(run), at, at + len(run)
+            while lo and i and left[lo - 1] is not None and left[lo - 1] == a[i - 1]:
+                lo, i = lo - 1, i - 1
+            while hi < len(b) and e < len(a) and left[hi] is not None and left[hi] == a[e]:
+                hi, e = hi + 1, e + 1
+            gone += range(lo, hi)
+            left[lo:hi] = [None] * (hi - lo)
     return gone
 
 
@@ -115,102 +143,71 @@ def _hash(lines: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def keys_of(seqs: DataFrame, least: int, couples: bool) -> DataFrame:
-    """doc_id, key, run: the hashes of its runs (run null) and, for couples, of each with the line after it (run: its own key).
+    """doc_id, text_key, key, run: the hashes of its runs (run null) and, for couples, of each with the line after it (run: its own).
 
-    seqs: doc_id, lines, sizes, gone; runs whose lines are all in gone are counted, but not returned."""
+    seqs: doc_id, text_key, lines, sizes."""
 
-    def numbered(doc: np.ndarray, h: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """Keys of runs: the n-th of equal ones in a text, those not left first, has the hash and n."""
-        order = np.lexsort((left, h, doc))
+    def distinct(ids: np.ndarray, texts: np.ndarray, own: np.ndarray, h: np.ndarray, run: np.ndarray | None) -> pa.RecordBatch:
+        order = np.lexsort((h, own))
         new = np.ones(len(h), bool)
-        new[1:] = (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1])
-        n = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-        out = np.empty(len(h), U)
-        with np.errstate(over="ignore"):
-            out[order] = mix(h[order] + n.astype(U) * U(0x9E3779B97F4A7C15))
-        return out.view(np.int64)
+        new[1:] = (own[order][1:] != own[order][:-1]) | (h[order][1:] != h[order][:-1])
+        at = order[new]
+        return as_batch(KEY, ids[own[at]], texts[own[at]], h[at].view(np.int64), np.full(len(at), None, object) if run is None else run[at].view(np.int64))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, col = batch.column("doc_id").to_numpy(), batch.column("lines")
+            ids, texts, col = batch.column("doc_id").to_numpy(), batch.column("text_key").to_numpy(), batch.column("lines")
             lines, sizes = (c.flatten().to_numpy(zero_copy_only=False) for c in (col, batch.column("sizes")))
             at = np.concatenate([[0], np.cumsum(col.value_lengths().to_numpy())]).astype(np.int64)
             doc = np.repeat(np.arange(len(ids)), np.diff(at))
-            stays = np.ones(len(lines), np.int64)
-            for k, gone in enumerate(batch.column("gone")):
-                if gone.is_valid and len(gone):
-                    stays[at[k] + gone.values.to_numpy()] = 0
-            stays = np.concatenate([[0], np.cumsum(stays)])
             first, last, h = runs(lines, sizes, at, least)
-            own, left = doc[first], stays[last + 1] > stays[first]
-            key = numbered(own, h, left)
-            yield as_batch(KEY, ids[own[left]], key[left], np.full(int(left.sum()), None, object))
+            own = doc[first]
+            yield distinct(ids, texts, own, h, None)
             if couples:
                 solid = np.append(np.flatnonzero(lines), len(lines))
                 after = solid[np.searchsorted(solid, last, "right")]
                 ok = after < at[own + 1]
-                first, after, own, run = first[ok], after[ok], own[ok], key[ok]
-                left = stays[after + 1] > stays[first]
-                yield as_batch(KEY, ids[own[left]], numbered(own, _hash(lines, first, after), left)[left], run[left])
+                yield distinct(ids, texts, own[ok], _hash(lines, first[ok], after[ok]), h[ok])
+
+    return seqs.mapInArrow(find, "doc_id long, text_key long, key long, run long")
+
 
-    return seqs.mapInArrow(find, "doc_id long, key long, run long")
+def pairs_of(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
+    """doc_id, text_key, other_id, other_key: each document with the smallest holder of each of its keys."""
+    keys = saved(keys_of(seqs, least, rare is not None), "keys")
 
+    def known(k: DataFrame, name: str) -> DataFrame:
+        held = k.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("doc_id").alias("last_id"))
+        held = held.where("first.doc_id < last_id").select("key", "n", F.col("first.doc_id").alias("other_id"), F.col("first.text_key").alias("other_key"))
+        return saved(held, name)  # written, so that a join with it can split a hot key
 
-def shared_keys(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
-    """doc_id, key, other_id: the keys that several documents hold, and the smallest of these."""
-    keys = saved(keys_of(seqs.withColumn("gone", F.lit(None).cast("array<int>")), least, rare is not None), "keys")
-    known = lambda k, name: saved(k.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("other_id")).where("n > 1"), name)
-    own = keys.where("run is null").select("doc_id", "key")
-    first = known(own, "lines")  # written, so that the join below can split a hot key
+    own = keys.where("run is null").select("doc_id", "text_key", "key")
+    first = known(own, "lines")
     if rare is None:
         shared = own.join(first, "key")
     else:
         common = first.where(F.col("n") > rare).select(F.col("key").alias("run"))
-        couple = saved(keys.join(common, "run").select("doc_id", "key").distinct(), "couples")
+        couple = saved(keys.join(common, "run").select("doc_id", "text_key", "key").distinct(), "couples")
         shared = own.join(first.where(F.col("n") <= rare), "key").unionByName(couple.join(known(couple, "first-couples"), "key"))
-    return saved(shared.select("doc_id", "key", "other_id"), "shared")
+    return saved(shared.where("doc_id > other_id").select("doc_id", "text_key", "other_id", "other_key").distinct(), "pairs")
 
 
 def aligned(seqs: DataFrame, rare: int | None, least: int) -> DataFrame:
-    """doc_id, other_id (smaller), at: the lines of doc_id that are deleted, for the pairs that have such."""
-    shared = shared_keys(seqs, rare, least)
-    later = seqs.withColumnRenamed("lines", "b")
-    earlier = seqs.select(F.col("doc_id").alias("other_id"), F.col("lines").alias("a"))
+    """doc_id, text_key, at: the lines that are deleted, for each pair that has such."""
+    pairs = pairs_of(seqs, rare, least)
+    earlier = seqs.select(F.col("doc_id").alias("other_id"), F.col("text_key").alias("other_key"), F.col("lines").alias("a"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, other_id, a, b, sizes in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "other_id", "a", "b", "sizes"))):
+            for doc_id, key, a, b, sizes in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "text_key", "a", "b", "sizes"))):
                 if at := common_blocks(a, b, sizes, least):
-                    out.append((doc_id, other_id, at))
+                    out.append((doc_id, key, at))
             if out:
                 yield as_batch(CUT, *zip(*out))
 
-    left = shared.where("doc_id > other_id")  # doc_id, key, other_id: the holder of the key to align with
-    pairs = saved(left.select("doc_id", "other_id").distinct(), "pairs")
-    cuts, n_before = None, None
-    while True:
-        new = saved(pairs.join(later, "doc_id").join(earlier, "other_id").mapInArrow(align, "doc_id long, other_id long, at array<int>"), "cuts")
-        cuts = new if cuts is None else cuts.unionByName(new)
-        if n_before == 0:
-            return cuts
-        gone = cuts.groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("gone"))
-        rest = keys_of(seqs.join(left.select("doc_id").distinct(), "doc_id", "left_semi").join(gone, "doc_id", "left"), least, rare is not None)
-        left = saved(left.join(rest.select("doc_id", "key").distinct(), ["doc_id", "key"]), "left")
-        # all documents that have a key left are at the same holder of it
-        open_ = saved(left.groupBy("key").agg(F.min("other_id").alias("tried")), "open")
-        holders = saved(shared.select("key", F.col("doc_id").alias("other_id")).join(open_, "key").where("other_id > tried").select("key", "other_id"), "holders")
-        following = saved(holders.groupBy("key").agg(F.min("other_id").alias("other_id")), "following")
-        left = saved(left.drop("other_id").join(following, "key").where("doc_id > other_id"), "left")
-        n = left.count()
-        if not n:
-            return cuts
-        if n_before is not None and 2 * n > n_before:  # few have what they wait for in the next holder
-            to, n = left.drop("other_id").join(holders, "key").where("doc_id > other_id"), 0
-        else:
-            to = left
-        pairs = saved(to.select("doc_id", "other_id").distinct(), "pairs")
-        n_before = n
+    both = pairs.join(seqs.withColumnRenamed("lines", "b"), ["doc_id", "text_key"]).join(earlier, ["other_id", "other_key"])
+    return saved(both.mapInArrow(align, "doc_id long, text_key long, at array<int>"), "cuts")
 
 
 def line_dedup(docs: DataFrame, rare: int | None = None, min_chars: int = MIN_CHARS, others: tuple[str, ...] = ()) -> DataFrame:
@@ -219,17 +216,18 @@ def line_dedup(docs: DataFrame, rare: int | None = None, min_chars: int = MIN_CH
     others: columns of docs to hand on."""
     docs = documents(docs, *others)
     copies = copies_of(docs)
-    firsts = without(docs, copies).where("doc_id is not null and text is not null").dropDuplicates(["doc_id"])
+    firsts = without(docs, copies, ("doc_id", "text_key")).where("doc_id is not null and text is not null")
     blank = "length(trim(both ' \\t\\r\\u000b\\u000c' from x)) = 0"
     seqs = saved(
-        firsts.select("doc_id", F.split("text", "\n", -1).alias("l"))
-        .select("doc_id", F.expr(f"transform(l, x -> case when {blank} then 0L else xxhash64(x) end)").alias("lines"), F.expr(f"transform(l, x -> case when {blank} then 0 else octet_length(x) end)").alias("sizes")),
+        firsts.select("doc_id", "text_key", F.split("text", "\n", -1).alias("l"))
+        .select("doc_id", "text_key", F.expr(f"transform(l, x -> case when {blank} then 0L else xxhash64(x) end)").alias("lines"), F.expr(f"transform(l, x -> case when {blank} then 0 else octet_length(x) end)").alias("sizes"))
+        .dropDuplicates(["doc_id", "text_key"]),
         "sequences",
     )
     cuts = aligned(seqs, rare, min_chars)
     marks = (
-        cuts.groupBy("doc_id").agg(F.count("*").alias("n_partners"), F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")).withColumn("whole", F.lit(False))
-        .unionByName(copies.select("doc_id", F.lit(1).cast("long").alias("n_partners"), F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("whole")))
+        cuts.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_partners"), F.array_distinct(F.flatten(F.collect_list("at"))).alias("at")).withColumn("whole", F.lit(False))
+        .unionByName(copies.select("doc_id", "text_key", F.lit(1).cast("long").alias("n_partners"), F.lit(None).cast("array<int>").alias("at"), F.lit(True).alias("whole")))
     )
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +250,7 @@ def line_dedup(docs: DataFrame, rare: int | None = None, min_chars: int = MIN_CH
                 yield pa.RecordBatch.from_arrays([*own.columns, *(batch.column(c) for c in others)], names=[*RESULT.names, *others])
 
     schema = T.StructType.fromDDL("doc_id long, n_lines long, n_removed long, n_partners long, kept string")
-    return docs.join(marks, "doc_id", "left").mapInArrow(delete, T.StructType([*schema.fields, *(docs.schema[c] for c in others)]))
+    return docs.join(marks, ["doc_id", "text_key"], "left").mapInArrow(delete, T.StructType([*schema.fields, *(docs.schema[c] for c in others)]))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -398,18 +398,86 @@ def test_op9_common_line_of_many_texts(spark):
     assert [got[i].n_removed for i in range(240)] == [0] + [1] * 119 + [0] + [2] * 119
 
 
-def test_op9_deletes_what_any_earlier_holder_aligns(spark):
+def least_runs(lines):
+    """(first, last) of the least runs of 40 bytes or more that begin or end at each line."""
+    size = [len(x.encode()) if x.strip() else 0 for x in lines]
+    out = set()
+    for i in range(len(lines)):
+        out |= {next(((i, j) for j in range(i, len(lines)) if sum(size[i : j + 1]) >= 40), None), next(((j, i) for j in range(i, -1, -1) if sum(size[j : i + 1]) >= 40), None)}
+    return sorted(out - {None})
+
+
+def check_lines(data, got):
+    """Every deleted line lies in a run that an earlier document holds, and no such run is left whole."""
+    first = {}
+    for k, t in data:  # by doc_id
+        for i, j in least_runs((t or "").split("\n")):
+            first.setdefault(tuple(t.split("\n")[i : j + 1]), k)
+    for doc_id, text in data:
+        if text is None:
+            continue
+        lines = text.split("\n")
+        shared = [(i, j) for i, j in least_runs(lines) if first[tuple(lines[i : j + 1])] < doc_id]
+        for kept in got[doc_id, text]:
+            at, gone = 0, set()
+            for i, x in enumerate(lines):  # which lines are gone: kept is a subsequence, equal lines may be matched either way
+                if at < len(kept) and kept[at] == x and len(kept) - at <= len(lines) - i:
+                    at += 1
+                else:
+                    gone.add(i)
+            if len(set(lines)) == len(lines):
+                covered = {k for i, j in shared for k in range(i, j + 1)}
+                whole = text in [t for k, t in data if k < doc_id] and len(text.encode()) >= 40
+                assert whole and len(gone) == len(lines) or {k for k in gone if lines[k].strip()} <= covered, (doc_id, gone, shared)
+                assert all(gone & set(range(i, j + 1)) for i, j in shared), (doc_id, gone, shared)
+            assert len(gone) == len(lines) - len(kept)
+
+
+def test_op9_leaves_no_run_that_an_earlier_document_holds(spark):
     x, y, z = say(14), say(14), say(14)
     crossed = ["\n".join(p) for p in ([y, say(14), x], [x, y, say(14)], [say(14), x, y], [z, say(14), x, y], [x, y, say(14), z], [z, x, y])]
-    pool, rng = [say(RNG.choice((3, 14))) for _ in range(25)], random.Random(5)
+    pool, rng = [say(RNG.choice((2, 3, 14))) for _ in range(25)], random.Random(5)
     for texts in (crossed, ["\n".join(rng.sample(pool, rng.randrange(1, 9))) for _ in range(80)]):
-        split, want = [t.split("\n") for t in texts], []
-        for i, b in enumerate(split):
-            want.append({j for a in split[:i] for j in common_blocks([hash(k) for k in a], [hash(k) for k in b], [len(k.encode()) for k in b], 40)})
-        got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows(texts), SCHEMA)).collect()}
-        for i, b in enumerate(split):
-            if texts[i] not in texts[:i]:
-                assert got[i].kept == "\n".join(k for j, k in enumerate(b) if j not in want[i]), i
+        got = defaultdict(list)
+        for r in line_dedup(spark.createDataFrame(rows(texts), SCHEMA)).collect():
+            got[r.doc_id, texts[r.doc_id]].append([] if r.n_removed == r.n_lines else r.kept.split("\n"))
+        check_lines(list(enumerate(texts)), got)
+
+
+def test_op9_on_the_given_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {(r.doc_id, texts[r.doc_id]): [[] if r.n_removed == r.n_lines else r.kept.split("\n")] for r in line_dedup(docs).collect()}
+    assert len(got) == len(texts)
+    check_lines(sorted(texts.items()), got)
+
+
+def test_rows_that_repeat_a_doc_id_with_other_texts(spark):
+    a, b, c, d = say(100), say(60), say(80), say(60)
+    lines = ["\n".join(say(14) for _ in range(3)) for _ in range(4)]
+    data = [(1, a + " " + b), (2, a + " " + b), (2, b + "\n" + c), (3, c + " " + d), (4, "\n".join([lines[0], lines[1]])), (5, lines[1]), (5, "\n".join([lines[2], lines[0]])), (6, lines[2]), (6, "\n".join([lines[2], lines[3]])), (7, lines[3])]
+    df = spark.createDataFrame([(k, t, "en", "s", 0, 0, "", "", "") for k, t in data], SCHEMA)
+    words = lambda t: t.encode().split()
+    first, first_bytes = {}, {}
+    for k, t in sorted(data):
+        w, raw = words(t), t.encode()
+        for i in range(len(w) - 49):
+            first.setdefault(tuple(w[i : i + 50]), k)
+        for i in range(len(raw) - 49):
+            first_bytes.setdefault(raw[i : i + 50], k)
+    want, want_bytes = Counter(), Counter()
+    for k, t in data:
+        w, raw = words(t), t.encode()
+        gone = [any(first[tuple(w[j : j + 50])] < k for j in range(max(0, i - 49), min(i, len(w) - 50) + 1)) for i in range(len(w))]
+        want[k, len(w), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest()] += 1
+        cut = np.zeros(len(raw), bool)
+        for i in range(len(raw) - 49):
+            cut[i : i + 50] |= first_bytes[raw[i : i + 50]] < k
+        want_bytes[k, len(raw), int(cut.sum()), hashlib.sha256(bytes(np.frombuffer(raw, np.uint8)[~cut])).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(df).collect()) == want
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in suffix_dedup(df).collect()) == want_bytes
+    kept = Counter((r.doc_id, r.n_lines, r.n_removed) for r in line_dedup(df).collect())
+    assert all(kept[x] for x in [(1, 1, 0), (2, 1, 1), (2, 2, 0), (4, 6, 0), (5, 3, 3), (5, 6, 3), (6, 3, 3), (6, 6, 3), (7, 3, 3)]) and sum(kept.values()) == len(data)
 
 
 def slow_url(url):
