@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -126,4 +126,20 @@ def as_batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema)], schema=schema)
 
 
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length as one compressed string; the bytes of numbers are stored plane by plane."""
+    planes = [np.ascontiguousarray(a.reshape(len(a), -1)).view(np.uint8).reshape(len(a), -1) for a in arrays]
+    return pa.Codec("zstd", compression_level=3).compress(b"".join((x if a.dtype == np.uint8 else x.T).tobytes() for a, x in zip(arrays, planes)), asbytes=True)
+
+
+def unpacked(data: bytes, n: int, *kinds: tuple[type, int]) -> list[np.ndarray]:
+    """The arrays that packed() took; n: their length, kinds: type and width of each."""
+    widths = [np.dtype(k).itemsize * w for k, w in kinds]
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data, n * sum(widths)), np.uint8)
+    out, at = [], 0
+    for (kind, width), size in zip(kinds, widths):
+        part = raw[at : at + n * size]
+        part = part.reshape(n, size) if np.dtype(kind) == np.uint8 else np.ascontiguousarray(part.reshape(size, n).T)
+        out.append(part.view(kind) if width > 1 else part.view(kind)[:, 0])
+        at += n * size
+    return out

@@ -135,6 +135,29 @@ def test_op6(spark, docs, none):
     assert any(r.n_spans > 0 for r in got) and suffix_dedup(none).count() == 0
 
 
+def test_op6_over_many_small_buckets_and_chunks(spark, monkeypatch):
+    import loomtext.llm._chunks as chunks
+
+    monkeypatch.setattr(chunks, "CHUNK", 3000)
+    hot, odd = "a lead of bytes that all of them share", "z" * 30 + "\0" * 40 + "q\0" * 30
+    texts = [say(12)[: RNG.randrange(30)] + hot + say(8)[: RNG.randrange(20, 40)] + RNG.choice(["alpha beta gamma delta", "omega psi chi phi"]) for _ in range(300)] + [say(30) + odd, odd + "x", "y" + odd, say(5) + odd[5:70] + "t"]
+    want, first = {}, {}
+    for k, t in enumerate(texts):
+        raw = t.encode()
+        for i in range(len(raw) - 49):
+            first.setdefault(raw[i : i + 50], k)
+    for k, t in enumerate(texts):
+        raw = t.encode()
+        gone = np.zeros(len(raw), bool)
+        for i in range(len(raw) - 49):
+            gone[i : i + 50] |= first[raw[i : i + 50]] < k
+        want[k] = int(gone.sum())
+    df = spark.createDataFrame(rows(texts), SCHEMA).repartition(5)
+    for part_bytes in (600, 5000):
+        assert {r.doc_id: r.n_removed for r in suffix_dedup(df, part_bytes=part_bytes).collect()} == want
+    assert sum(want.values()) > 1000
+
+
 def test_multikey_quicksort_sorts():
     keys = np.random.default_rng(1).integers(0, 4, (3000, 5)).astype(np.uint64)
     assert [tuple(x) for x in keys[multikey_quicksort(keys)]] == sorted(tuple(x) for x in keys)
