@@ -77,15 +77,32 @@ def without(docs: DataFrame, listed: DataFrame, keys: tuple[str, ...] = ("doc_id
     return sure.unionByName(rest)
 
 
-def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents listed in ids (a written table) and some others; no text is shuffled.
+class Listed:
+    """A bitmap of hashed keys (doc_id, text_key): which rows may be listed. 16 bits a key, 128 MB at most."""
 
-    A list shorter than COPY_BUCKETS is held against hash buckets, a longer one passes all: the caller joins."""
-    name = "_bucket_of_doc"
-    own = ids.select("doc_id").distinct()
-    if own.count() > COPY_BUCKETS:
-        return docs
-    return docs.withColumn(name, _bucket()).join(F.broadcast(own.select(_bucket().alias(name)).distinct()), name, "left_semi").drop(name)
+    def __init__(self, listed: DataFrame):
+        own = listed.select(row_hash().alias("h"))
+        self.bits = int(min(30, max(19, np.ceil(np.log2(16 * max(1, own.count()))))))
+
+        def block(t: pa.Table) -> pa.Table:
+            on = np.zeros(1 << 19, bool)
+            on[t["cell"].to_numpy() & ((1 << 19) - 1)] = True
+            return pa.table({"block": t["block"][:1], "bits": pa.array([np.packbits(on).tobytes()], pa.binary())})
+
+        cell = own.select(F.shiftrightunsigned("h", 64 - self.bits).alias("cell")).distinct().withColumn("block", F.shiftright("cell", 19))
+        self.map = np.zeros(1 << (self.bits - 3), np.uint8)
+        got = cell.groupBy("block").applyInArrow(block, "block long, bits binary").toArrow()
+        for k, x in zip(got["block"].to_pylist(), got["bits"]):
+            self.map[k << 16 : (k + 1) << 16] = np.frombuffer(x.as_buffer(), np.uint8)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        """h: values of row_hash()."""
+        at = h.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.map[at >> np.uint64(3)] >> (7 - (at & np.uint64(7)).astype(np.uint8))) & 1 > 0
+
+
+def row_hash():
+    return F.xxhash64("doc_id", "text_key")
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -38,6 +38,8 @@ from ._common import as_batch, copies_of, documents, groups, packed, parts, save
 from ._words import U, byte_grams, mix, slide_min
 
 LENGTH, LEAD, PART, MOST_PARTS, SAMPLES, FLUSH = 50, 24, 16 << 20, 1 << 16, 64, 400_000
+#: In place of a count of rows: spans that a task has settled itself, dealt evenly over the buckets.
+SETTLED = -1
 ASK = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
 ANSWER = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("bits", pa.binary())])
 ROWS = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
@@ -262,7 +264,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
             least = np.minimum.reduceat(doc[order], np.flatnonzero(first))[group]
             done = doc[order] > least
             at = order[done]
-            yield from (as_batch(ROWS, [-1], [1], [x]) for x in _shipped(chunk[at], row[at], start[at], start[at] + count[at] - 1 + length))
+            n_buckets = len(splitters.value) + 1
+            yield from (as_batch(ROWS, [k % n_buckets], [SETTLED], [x]) for k, x in enumerate(_shipped(chunk[at], row[at], start[at], start[at] + count[at] - 1 + length)))
             at = order[~done]
             bound = splitters.value
             part = np.searchsorted(bound, as_strings(key[at]), "right") if len(bound) else np.zeros(len(at), np.int64)
@@ -291,21 +294,21 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
 
     def sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["part"]):
-            part = t["part"][0].as_py()
-            if part < 0:
-                for x in t["data"]:
+            part, width, got = t["part"][0].as_py(), 2 * length - lead, []
+            for x, n in zip(t["data"], t["n"].to_pylist()):
+                if n == SETTLED:
                     yield _received(x.as_py())
+                else:
+                    got.append(unpacked(x.as_py(), n, (np.uint8, width), (np.uint8, 1), (np.uint8, 1), (np.int64, 1), (np.int64, 1), (np.int32, 1), (np.int32, 1)))
+            if not got:
                 continue
-            width = 2 * length - lead
-            got = [unpacked(x.as_py(), n.as_py(), (np.uint8, width), (np.uint8, 1), (np.uint8, 1), (np.int64, 1), (np.int64, 1), (np.int32, 1), (np.int32, 1)) for x, n in zip(t["data"], t["n"])]
             key, right, left, doc, chunk, row, start = (np.concatenate(x) for x in zip(*got))
             bound = splitters.value
             low, high = bound[part - 1] if part else None, bound[part] if part < len(bound) else None
             yield from _bucket(key, right, left, doc, chunk, row, start, length, low, high)
 
     rows = texts.join(answers, "chunk").mapInArrow(suffixes, "part int, n long, data binary")
-    salted = rows.withColumn("salt", F.when(F.col("part") < 0, F.xxhash64("data")).otherwise(0))
-    buckets = salted.repartition(parts(spark, size, part_bytes), "part", "salt").drop("salt").sortWithinPartitions("part")
+    buckets = rows.repartition(parts(spark, size, part_bytes), "part").sortWithinPartitions("part")
     found = saved(buckets.mapInArrow(sort_bucket, SPAN_SQL), "spans", "zstd")
     strings = found.where("key is not null").select("key", "doc_id", "chunk", "row", "start")
     first = saved(strings.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most"), "across")

@@ -19,7 +19,7 @@ from loomtext.llm.op4_decontamination import decontaminate
 from loomtext.llm.op5_quality_rules import binomial_tail, counts, quality_rules
 from loomtext.llm.op6_suffix_array import multikey_quicksort, suffix_dedup
 from loomtext.llm.op7_mixing import mix_sources
-from loomtext.llm.op8_ngram_join import matched_depth, ngram_join
+from loomtext.llm.op8_ngram_join import DEPTH, TREES, depths, joined_rows, labels, minhashes, ngram_join
 from loomtext.llm.op9_line_dedup import common_blocks, line_dedup, patience
 from loomtext.llm.op10_url_filter import by_rule, split_url, url_filter
 
@@ -360,6 +360,7 @@ def test_op8_large_group_over_several_blocks(spark, monkeypatch):
     import loomtext.llm.op8_ngram_join as m
 
     monkeypatch.setattr(m, "BLOCK", 16)
+    monkeypatch.setattr(m, "LABEL_BLOCK", 24)
     base = say(120).split(" ")
     texts = []
     for i in range(70):
@@ -369,7 +370,45 @@ def test_op8_large_group_over_several_blocks(spark, monkeypatch):
     want = near_truth(dict(enumerate(texts)))
     assert {r.doc_id: (r.class_id, r.copy_of, r.n_links) for r in ngram_join(spark.createDataFrame(rows(texts), SCHEMA)).collect()} == want
     assert sum(x[2] for x in want.values()) > 70 * 40
-    assert matched_depth(0.8) == 4
+
+
+def test_op8_labels_and_depths():
+    import pyarrow as pa
+
+    s = np.sort(np.random.default_rng(2).integers(0, 1 << 62, 700).astype(np.uint64))
+    path = labels(s)
+    m = minhashes(pa.array([path.view(np.int64)], pa.list_(pa.int64())))
+    assert path.shape == (TREES,) and m.shape == (1, TREES * DEPTH)
+    assert [int(p) >> 56 for p in path] == m[0, ::DEPTH].tolist()  # the first minhash is the highest byte
+    other = labels(s[:630])  # Jaccard 0.9
+    assert 0.8 < (minhashes(pa.array([other.view(np.int64)], pa.list_(pa.int64()))) == m).mean() < 0.98
+    for counts in ({}, {(t, d): 10 ** (8 - d) * (t + 1) for t in range(TREES) for d in range(9)}):
+        got = depths(counts, 0.8, 0.9999)
+        assert 1 - math.prod(1 - 0.8**d for d in got) >= 0.9999 > 1 - math.prod(1 - 0.8 ** min(8, d + 1) for d in got)
+    assert depths({(0, d): 10**6 for d in range(9)}, 0.8, 0.9999)[0] > min(depths({}, 0.8, 0.9999))
+
+
+def test_op8_chains_of_labels():
+    rng = np.random.default_rng(3)
+    m = rng.integers(0, 256, (60, 160)).astype(np.uint8)
+    for i in (5, 11, 30):
+        m[i] = m[i - 1]
+        m[i, :40] = 0
+    m[6], m[6, 100:140] = m[5], 1
+    assert {i: x for i, x in enumerate(joined_rows(m, np.full(60, 100), 0.8, 0.6)) if i != x} == {5: 4, 6: 4, 11: 10, 30: 29}
+
+
+def test_op8_finds_all_pairs_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = near_truth({r.doc_id: r.text or "" for r in docs.collect()})
+    assert {r.doc_id: (r.class_id, r.copy_of, r.n_links) for r in ngram_join(docs).collect()} == want
+
+
+def test_op8_rows_that_repeat_a_doc_id(spark):
+    a, b = say(60), say(60)
+    data = [(5, a), (5, a), (5, b), (3, b), (9, a + " end")]
+    got = sorted((r.doc_id, r.class_id, r.n_copies, r.n_links, r.is_first) for r in ngram_join(spark.createDataFrame([(k, t, "en", "s", 0, 0, "", "", "") for k, t in data], SCHEMA)).collect())
+    assert got == [(3, 3, 1, 0, True), (5, 3, 1, 0, False), (5, 5, 0, 1, True), (9, 5, 0, 1, False)]
 
 
 def test_components(spark):
