@@ -33,11 +33,19 @@ def saved(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, buckets: int, by: str) -> DataFrame:
+    """As saved(), bucketed by a column."""
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.option("path", f"{shared_dir(df.sparkSession)}/{table}").bucketBy(buckets, by).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most so many rows in this session: a batch of texts then takes a few MB on either side."""
+    """Arrow batches of at most so many rows and 16 MB in this session: a batch of texts then takes a few MB on either side."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def documents(docs: DataFrame, *others: str) -> DataFrame:

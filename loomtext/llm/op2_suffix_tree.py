@@ -1,25 +1,24 @@
-"""LM scoring: a probabilistic suffix tree over word symbols, with a word model of the whole corpus below it.
-
-Symbols: a word of at least 1/MAX_SYMBOLS of the training tokens is a symbol of its own (so there are MAX_SYMBOLS at
-most); any other word has the class of its last two bytes, one of CLASSES; the end of a text is a symbol. The tree's
-contexts are runs of up to DEPTH symbols. A context is grown if it makes up MIN_SHARE of the tokens, and retained if
-its next-symbol counts diverge from its suffix's: count * KL divergence above one nat for each symbol seen after it
-(Akaike's penalty). Distributions are smoothed towards the retained suffix with weight STRENGTH. A token is scored in
-the longest retained suffix of what precedes it: log10 P(symbol | state), plus, for a word without a symbol of its
-own, log10 P(word | class) from the counts of all training words.
-
-The word counts are not a model that fits one machine. A word with 1/MAX_COMMON of the training tokens is counted in
-a bounded table (so no word shuffled is hot); any other goes, as (row, hash, count), to the partition of its hash,
-which counts the training tokens of its words and returns sums of log counts for each row. The tree is bounded by its
-parameters (1 / MIN_SHARE contexts a level) and broadcast; its counts come from all training tokens. Words are told
-apart by 64-bit hashes.
-
-Above it the tree goes on over words, and grows with the corpus: the 1 to DEPTH words before a token are a context if
-training tokens follow it MIN_COUNT times, and it is retained by the same divergence test against what the shorter
-contexts gave. Each retained context from the shortest on smooths its next-word counts towards the probability before
-it. Contexts and next words are counted in tables partitioned by their hashes and joined with the tokens, not broadcast.
-
-Defined cases: a null or blank text is the end token alone; no training document gives uniform scores; rows that
+"""LM scoring: a probabilistic suffix tree over words that grows with the corpus.
+
+Contexts are the DEPTH words or fewer before a token, within a text. A context is grown if training tokens follow it
+MIN_COUNT times; next symbols are the tokens (words and the end of a text) that occur MIN_WORD times in training, all
+others are left to the root. A context is retained if its next-symbol counts n diverge from the distribution P of its
+suffix: its gain, n * ln((n - 1 + S P) / ((N - 1 + S) P)) summed over next symbols, must be above PENALTY nats. The
+counts are left out one by one, so chance followers count against a context. Retained counts are smoothed towards
+the suffix, (n + S P) / (N + S), S = STRENGTH; the root is (c + 0.5) / (N + 0.5 (V + 1)), the base score's. A token is
+scored in the longest retained suffix of what precedes it.
+
+Nothing of the model is broadcast or held on one machine. Texts are a table of chunks, bucketed by chunk. Level by
+level (0: words, k: contexts of k words with their next symbols) a chunk asks the owners of the hashes for the counts
+of all training texts: a parcel for each owner, with each distinct pair once, its own training count, and P in steps
+of a twentieth of a decade for the gain. The owners add up, decide what is retained, and answer each parcel; the next
+level is asked with these answers at hand. A context that has more than an owner's share of the tokens is parted over
+several by its next symbols; only its sums (one row for each, at most as many as there are owners) pass through the
+driver. Words are told apart by 48 bits of hash and an owner, next symbols of one context by 32.
+
+Bounds: an owner has the pairs of PART bytes of text, MOST_PARTS owners at most (1 TB; beyond that they grow).
+
+Defined cases: a null or blank text is the end token alone; no training document gives every token log10 1; rows that
 repeat a doc_id are scored each, and train as often as they stand there; a null doc_id is scored and held out.
 """
 
@@ -33,366 +32,229 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._common import as_batch, parts, saved, small_batches, text_bytes
-from ._words import LOWER, U, hashes, mix, pieces, words
+from ._chunks import chunked, opened, parcels
+from ._common import as_batch, groups, packed, parts, saved, small_batches, text_bytes, unpacked
+from ._words import Piece, U, hashes, mix, words
 
-MAX_SYMBOLS, MAX_COMMON, CLASSES, DEPTH, MIN_SHARE, STRENGTH, FOLDS, HELD = 256, 1 << 16, 64, 3, 1e-3, 20.0, 5, 1
-MIN_COUNT = 2
-END = 0  # the symbols: the end, the classes, the words
+DEPTH, MIN_COUNT, MIN_WORD, STRENGTH, PENALTY, FOLDS, HELD, PART, MOST_PARTS = 2, 4, 2, 5.0, 1.0, 5, 1, 16 << 20, 1 << 16
 END_HASH = U(0xE0D0E0D0E0D0E0D1)
-TOP = pa.schema([("word", pa.int64()), ("tail", pa.int32()), ("n", pa.int64()), ("tokens", pa.int64())])
-NEXT = pa.schema([("context", pa.int32()), ("symbol", pa.int32()), ("n", pa.int64())])
-#: A row is either a text's own sums (part -1) or a parcel of words for a partition.
-SENT = pa.schema(
-    [
-        ("part", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("tree", pa.float64()), ("base", pa.float64()),
-        ("known", pa.int64()), ("rare", pa.float64()), ("many", pa.list_(pa.int64())), ("rows", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("classes", pa.binary()), ("trains", pa.binary()),
-    ]
-)
-SENT_SQL = "part int, row long, doc_id long, held_out boolean, n_tokens long, tree double, base double, known long, rare double, many array<long>, rows binary, words binary, counts binary, classes binary, trains binary"
-#: Sums of some rows' words, or (bucket -1 - class) the training tokens and distinct words of a class.
-SUM = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("base", pa.binary()), ("known", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
-TOKEN = pa.schema([("row", pa.int64()), ("word", pa.int64()), *((f"x{k}", pa.int64()) for k in range(1, DEPTH + 1)), ("train", pa.bool_()), ("kind", pa.int32()), ("far", pa.bool_()), ("p", pa.float64())])
-TOKEN_SQL = "row long, word long, " + "".join(f"x{k} long, " for k in range(1, DEPTH + 1)) + "train boolean, kind int, far boolean, p double"
-FAR = pa.schema([("row", pa.int64()), ("far", pa.float64()), ("far_known", pa.int64())])
+ASK = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+#: An answer to a parcel or (chunk -1) sums: of level 0 tokens and types, else of a parted context N and its gain's first term.
+ANSWER = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("data", pa.binary()), ("key", pa.int64()), ("total", pa.int64()), ("own", pa.float64())])
+ANSWER_SQL = "chunk long, part int, n long, data binary, key long, total long, own double"
+SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+STEPS = 20
 
 
 def in_training(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS != HELD
 
 
-class Symbols:
-    """Word hash -> symbol, and the training counts of common words."""
+class Model:
+    """What all chunks know: sizes, and the parted contexts of each level (by key, 0 if not retained)."""
 
-    def __init__(self, top: np.ndarray, common: np.ndarray, tail: np.ndarray):
-        self.top = np.sort(top)
-        common, tail = np.append(common, END_HASH), np.append(tail, -1)
-        order = np.argsort(common)
-        self.common, self.tail = common[order], tail[order]
-        self.size = 1 + CLASSES + len(top)
-        self.count = np.zeros(len(self.common), np.int64)
+    def __init__(self, n_parts: int):
+        self.n_parts, self.tokens, self.types, self.parted = n_parts, 0, 0, []
 
-    def of(self, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
-        """Symbols of tokens by their hashes; tail: their classes, or -1 for an end."""
-        out = np.where(tail < 0, END, 1 + tail)
-        if len(self.top):
-            at = np.minimum(np.searchsorted(self.top, h), len(self.top) - 1)
-            out = np.where(self.top[at] == h, 1 + CLASSES + at, out)
-        return out
-
-    def kinds(self) -> list[int]:
-        """The class of each common word; CLASSES if it has a symbol of its own or is the end."""
-        s = self.of(self.common, self.tail)
-        return np.where((s >= 1) & (s <= CLASSES), s - 1, CLASSES).tolist()
-
-    def place(self, h: np.ndarray) -> np.ndarray:
-        """The number of a common word, or -1."""
-        at = np.minimum(np.searchsorted(self.common, h), len(self.common) - 1)
-        return np.where(self.common[at] == h, at, -1)
 
+class Text:
+    """The tokens of one chunk and what has been learned of them so far."""
 
-def tokens(batch: pa.RecordBatch):
-    """For each piece: documents' numbers in the batch, then of all tokens (an end after each text): hash, class, document."""
-    for p in pieces(batch.column("text")):
+    def __init__(self, ids: np.ndarray, missing: np.ndarray, data: np.ndarray, at: np.ndarray):
+        p = Piece(0, len(ids), data, at)
         w = words(p)
-        h = hashes(p, w, lower=True)
-        d = LOWER[p.data]
-        tail = (d[w.end - 1].astype(np.int64) * 31 + np.where(w.end - w.start > 1, d[w.end - 2], 0)) % CLASSES if len(h) else np.zeros(0, np.int64)
-        n = p.hi - p.lo
         ends = w.first[1:]
-        yield p.lo, n, np.insert(h, ends, END_HASH), np.insert(tail, ends, -1), np.insert(w.doc, ends, np.arange(n))
-
-
-class Tree:
-    """Contexts as nodes: children[level][node * size + symbol before] -> node of the next level, or -1."""
-
-    def __init__(self, size: int):
-        self.size = size
-        self.levels: list[np.ndarray] = []  # node (level, i), earlier symbol -> i of level + 1
-        self.state: list[np.ndarray] = [np.zeros(1, np.int32)]  # the retained state of each node of a level
-        self.log: list[np.ndarray] = []  # log10 distributions of the states
-
-    def nodes(self, s: np.ndarray, doc: np.ndarray, depth: int) -> list[np.ndarray]:
-        """At each token and level, the number of the node of the symbols before it, or -1."""
-        at = [np.zeros(len(s), np.int64)]
-        for k, child in enumerate(self.levels[:depth], 1):
-            before = np.full(len(s), -1, np.int64)
-            before[k:] = np.where(doc[k:] == doc[:-k], s[:-k], -1)
-            ok = (at[-1] >= 0) & (before >= 0)
-            out = np.full(len(s), -1, np.int64)
-            out[ok] = child[at[-1][ok] * self.size + before[ok]]
-            at.append(out)
-        return at
-
-    def score(self, s: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        state = np.zeros(len(s), np.int64)
-        for k, at in enumerate(self.nodes(s, doc, len(self.levels))):
-            state = np.where(at >= 0, self.state[k][at], state)
-        return self.table[state, s]
-
-    def close(self) -> "Tree":
-        self.table = np.stack(self.log).astype(np.float32)
-        return self
-
-
-def _grown(rows: DataFrame, symbols: Symbols, tree: Tree, depth: int, n_nodes: int) -> np.ndarray:
-    """Next-symbol counts after each node of the level, over all training tokens; at depth 0 common words are counted too."""
-    known = rows.sparkSession.sparkContext.broadcast((symbols, tree))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sym, tr = known.value
-        total, common = np.zeros(n_nodes * sym.size, np.int64), np.zeros(len(sym.common), np.int64)
-        for batch in batches:
-            train = np.array([in_training(x) for x in batch.column("doc_id").to_pylist()], bool)
-            for lo, n, h, tail, doc in tokens(batch):
-                s, trains = sym.of(h, tail), train[lo : lo + n][doc]
-                node = tr.nodes(s, doc, depth)[depth]
-                ok = (node >= 0) & trains
-                total += np.bincount(node[ok] * sym.size + s[ok], minlength=len(total))
-                if depth == 0:
-                    place = sym.place(h[trains])
-                    common += np.bincount(place[place >= 0], minlength=len(common))
-        at = np.flatnonzero(total)
-        yield as_batch(NEXT, (at // sym.size).astype(np.int32), (at % sym.size).astype(np.int32), total[at])
-        at = np.flatnonzero(common)
-        yield as_batch(NEXT, np.full(len(at), -1, np.int32), at.astype(np.int32), common[at])
-
-    got = rows.mapInArrow(count, "context int, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")).toArrow()
-    context, symbol, n = (got[k].to_numpy() for k in ("context", "symbol", "n"))
-    symbols.count[symbol[context < 0]] += n[context < 0]
-    out = np.zeros((n_nodes, symbols.size), np.int64)
-    out[context[context >= 0], symbol[context >= 0]] = n[context >= 0]
-    return out
+        self.held = np.array([none or not in_training(x) for x, none in zip(ids.tolist(), missing.tolist())], bool)
+        self.token = np.insert(hashes(p, w, lower=True), ends, END_HASH)
+        self.doc = np.insert(w.doc, ends, np.arange(len(ids)))
+        self.train = ~self.held[self.doc]
+        self.context = np.zeros(len(self.token), U)
+
+    def questions(self, level: int, model: Model):
+        """Of the distinct pairs that this level asks about: owners and arrays, in order; and each token's question or -1."""
+        n, m = len(self.token), model.n_parts
+        back = np.full(n, -1)
+        if level == 0:
+            key, first, inverse = np.unique(self.token, return_index=True, return_inverse=True)
+            count = np.bincount(inverse, weights=self.train, minlength=len(key)).astype(np.uint32)
+            part = ((key >> U(48)) % U(m)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            back = _place(order)[inverse]
+            return part[order], [_low(key)[order], _high(key)[order], count[order]], back
+        same = np.zeros(n, bool)
+        same[level:] = self.doc[level:] == self.doc[: n - level]
+        before = np.zeros(n, U)
+        before[level:] = self.token[: n - level]
+        with np.errstate(over="ignore"):
+            self.context = mix(self.context * U(0x9E3779B97F4A7C15) + before)
+        often = np.zeros(n, np.int64)  # training tokens after the context: as its last word has in the context before
+        often[1:] = (self.count if level == 1 else self.n)[:-1]
+        self.live = same & (often >= MIN_COUNT)
+        self.parted = self.live & (often * m >= model.tokens) & (m > 1)
+        at = np.flatnonzero(self.live)
+        symbol = self.count >= MIN_WORD
+        word = np.where(symbol, self.token, U(0))  # a token that is no next symbol asks for its context's total alone
+        with np.errstate(over="ignore"):
+            pair = mix(self.context[at] * U(0xC2B2AE3D27D4EB4F) + word[at])
+        _, first, inverse = np.unique(pair, return_index=True, return_inverse=True)
+        count = np.bincount(inverse, weights=(self.train & symbol)[at], minlength=len(first)).astype(np.uint32)
+        one = at[first]
+        context, token, parted = self.context[one], word[one], self.parted[one]
+        shares = (often[one] * m // max(1, model.tokens) + 1).astype(U)
+        with np.errstate(over="ignore"):
+            spread = mix(context + token % shares) % U(m)
+        part = np.where(parted, U(m) + spread, (context >> U(48)) % U(m)).astype(np.int32)
+        order = np.lexsort((context, part))
+        back[at] = _place(order)[inverse]
+        step = np.minimum(255, np.rint(-STEPS * np.log10(self.p[one]))).astype(np.uint8)
+        return part[order], [_low(context)[order], _high(context)[order], (token[order] >> U(16)).astype(np.uint32), count[order], step[order]], back
+
+    def learn(self, level: int, model: Model, back: np.ndarray, said: list[np.ndarray]) -> None:
+        asked = back >= 0
+        n = np.zeros(len(self.token), np.int64)
+        n[asked] = said[0][back[asked]]
+        if level == 0:
+            self.count = n
+            self.base = self.p = (n + 0.5) / (model.tokens + 0.5 * (model.types + 1))
+            if not model.tokens:
+                self.base = self.p = np.ones(len(n))
+            return
+        self.n = n
+        total = np.zeros(len(n), np.int64)
+        total[asked] = said[1][back[asked]]
+        known = model.parted[level - 1]
+        if len(known[0]):
+            key = (self.context[self.parted] & U(0xFFFFFFFFFFFF)).astype(np.int64)
+            at = np.minimum(np.searchsorted(known[0], key), len(known[0]) - 1)
+            total[self.parted] = np.where(known[0][at] == key, known[1][at], 0)
+        self.p = np.where(total > 0, (n + STRENGTH * self.p) / (total + STRENGTH), self.p)
 
 
-def learn(rows: DataFrame) -> tuple[Symbols, Tree, int]:
-    """The symbols, the tree and the number of training tokens. rows: doc_id, text."""
+def _low(x: np.ndarray) -> np.ndarray:
+    return (x & U(0xFFFFFFFF)).astype(np.uint32)
 
-    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, total = [], 0
-        for batch in batches:
-            train = np.array([in_training(x) for x in batch.column("doc_id").to_pylist()], bool)
-            for lo, n, h, tail, doc in tokens(batch):
-                ok = train[lo : lo + n][doc]
-                total += int(ok.sum())
-                word, first, count = np.unique(h[ok & (tail >= 0)], return_index=True, return_counts=True)
-                keys.append(np.stack([word, count.astype(U), tail[ok & (tail >= 0)][first].astype(U)]))
-        if not total:
-            return
-        k = np.concatenate(keys, 1)
-        word, first, at = np.unique(k[0], return_index=True, return_inverse=True)
-        n = np.bincount(at, weights=k[1]).astype(np.int64)
-        # a word with a share of all tokens has it in some task; half of it is sent to sum up the others too
-        often = n * 2 * MAX_COMMON >= total
-        yield as_batch(TOP, [0, *word[often].view(np.int64).tolist()], [0, *k[2][first][often].tolist()], [0, *n[often].tolist()], [total, *([0] * int(often.sum()))])
-
-    sums = saved(rows.mapInArrow(top, "word long, tail int, n long, tokens long").groupBy("word", "tail").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")), "top")
-    n_tokens = sums.agg(F.sum("tokens")).first()[0] or 0
-    often = sums.where((F.col("n") * MAX_COMMON >= n_tokens) & (F.col("n") > 0)).select("word", "tail", "n").toArrow()  # MAX_COMMON rows at most
-    word, n = often["word"].to_numpy().astype(np.int64).view(U), often["n"].to_numpy()
-    symbols = Symbols(word[n * MAX_SYMBOLS >= n_tokens], word, often["tail"].to_numpy())
-    tree = Tree(symbols.size)
-    c = _grown(rows, symbols, tree, 0, 1)
-    root = (c[0] + 0.5) / (c[0].sum() + 0.5 * symbols.size)
-    tree.log.append(np.log10(root))
-    dists, suffix = [root], np.zeros(1, int)  # of states; the state of each node of the level
-    counts = c
-    context = [()]
-    for depth in range(1, DEPTH + 1):
-        # the symbol before a context: contexts of this depth that are frequent enough, counted as tokens they precede
-        if depth == 1:
-            seen = counts[0]
-            grow = [(0, s) for s in np.flatnonzero(seen >= max(1, MIN_SHARE * n_tokens)) if s != END]
-        else:
-            # (s, rest) is frequent where s is followed by rest: its count is at most that of (s, rest[0]) as a bigram
-            grow = [(i, s) for i, ctx in enumerate(context) for s in range(1, symbols.size) if _frequent(level_counts, (s, *ctx), n_tokens)]
-        child = np.full(len(context) * symbols.size, -1, np.int64)
-        for k, (i, s) in enumerate(grow):
-            child[i * symbols.size + s] = k
-        tree.levels.append(child)
-        new_context = [(int(s), *context[i]) for i, s in grow]
-        if not grow:
-            tree.state.append(np.zeros(0, np.int32))
-            break
-        counts = _grown(rows, symbols, tree, depth, len(grow))
-        states = np.zeros(len(grow), np.int64)
-        for k, (i, _) in enumerate(grow):
-            n, parent = counts[k], suffix[i]
-            total = n.sum()
-            mine = (n + STRENGTH * dists[parent]) / (total + STRENGTH)
-            seen = n > 0
-            gain = (n[seen] * np.log(n[seen] / max(1, total) / dists[parent][seen])).sum() if total else 0.0
-            if total >= MIN_SHARE * n_tokens and gain > seen.sum():
-                states[k] = len(dists)
-                dists.append(mine)
-                tree.log.append(np.log10(mine))
+
+def _high(x: np.ndarray) -> np.ndarray:
+    return ((x >> U(32)) & U(0xFFFF)).astype(np.uint16)
+
+
+def _place(order: np.ndarray) -> np.ndarray:
+    out = np.empty(len(order), np.int64)
+    out[order] = np.arange(len(order))
+    return out
+
+
+def _answer(level: int, n_parts: int):
+    """The owners of a level: sums of counts over all parcels of a part, and an answer to each parcel."""
+    kinds = [(np.uint32, 1), (np.uint16, 1), (np.uint32, 1)] + ([(np.uint32, 1), (np.uint8, 1)] if level else [])
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups(batches, ["part"]):
+            part, sizes = t["part"][0].as_py(), t["n"].to_pylist()
+            low, high, *rest = (np.concatenate(x) for x in zip(*(unpacked(x.as_py(), n, *kinds) for x, n in zip(t["data"], sizes))))
+            key = (high.astype(np.int64) << 32) | low
+            if level == 0:
+                _, inverse = np.unique(key, return_inverse=True)
+                count = np.bincount(inverse, weights=rest[0]).astype(np.int64)
+                yield as_batch(ANSWER, [-1], [part], [0], [None], [0], [int(count.sum())], [float((count > 0).sum())])
+                said = [count[inverse].astype(np.uint32)]
             else:
-                states[k] = parent
-        tree.state.append(states)
-        suffix, context = states, new_context
-        level_counts = {ctx: counts[k] for k, ctx in enumerate(context)}
-    return symbols, tree.close(), n_tokens
-
-
-def _frequent(level_counts: dict, ctx: tuple, n_tokens: int) -> bool:
-    """Whether a context one longer can have its share: the one without its last symbol, followed by that symbol, has."""
-    before = level_counts.get(ctx[:-1])
-    return before is not None and before[ctx[-1]] >= max(1, MIN_SHARE * n_tokens)
-
-
-def deepened(tokens: DataFrame) -> DataFrame:
-    """row, deeper: what the word contexts add to log10 P, summed. tokens: row, word, x1 (the word before), x2, ..., train, p."""
-    t = tokens.withColumn("p0", F.col("p"))
-    sums = []
-    for k in range(1, DEPTH + 1):
-        t = t.where(f"x{k} is not null").withColumn("c", F.xxhash64(*[f"x{i}" for i in range(1, k + 1)])).withColumn("g", F.xxhash64("c", "word"))
-        t = saved(t, "tokens")
-        pair = saved(t.where("train").groupBy("c", "g").agg(F.count("*").alias("n"), F.sum(F.col("p") * math.log(10)).alias("before")), "next-words")
-        context = pair.groupBy("c").agg(F.sum("n").alias("total"), F.count("*").alias("types"), F.sum(F.col("n") * F.log("n")).alias("own"), F.sum("before").alias("before")).where(F.col("total") >= MIN_COUNT)
-        context = saved(context.select("c", "total", (F.expr("own - total * ln(total) - before > types")).alias("retained")), "contexts")
-        n = saved(pair.join(context.where("retained").select("c"), "c", "left_semi").select("g", "n"), "retained")
-        mine = F.log10((F.coalesce("n", F.lit(0)) + STRENGTH * F.pow(F.lit(10.0), "p")) / (F.col("total") + STRENGTH))
-        # a context seen too seldom has no longer one seen more often: its tokens are done
-        t = t.join(context, "c", "left").join(n, "g", "left").withColumn("p", F.when(F.col("retained"), mine).otherwise(F.col("p")))
-        longer = f"x{k + 1} is not null and total is not null" if k < DEPTH else "false"
-        t = saved(t.withColumn("longer", F.expr(longer)).drop("c", "g", "n", "total", "retained"), "tokens")
-        sums.append(t.where("not longer").groupBy("row").agg(F.sum(F.col("p") - F.col("p0")).alias("deeper")))
-        t = t.where("longer").drop("longer")
-    out = sums[0]
-    for x in sums[1:]:
-        out = out.unionByName(x)
-    return out.groupBy("row").agg(F.sum("deeper").alias("deeper"))
-
-
-def suffix_tree_scores(docs: DataFrame) -> DataFrame:
+                token, count, step = rest
+                order = np.lexsort((token, key))
+                new = np.ones(len(order), bool)
+                new[1:] = (key[order][1:] != key[order][:-1]) | (token[order][1:] != token[order][:-1])
+                first = np.flatnonzero(new)
+                n = np.add.reduceat(count[order].astype(np.int64), first)
+                context = np.concatenate([[True], key[order][first][1:] != key[order][first][:-1]])
+                p = 10.0 ** (np.minimum.reduceat(step[order], first) / -STEPS)
+                # a pair of held-out texts alone has n = 0 and no share in the gain
+                own = np.where(n > 0, n * np.log((np.maximum(n, 1) - 1 + STRENGTH * p) / p), 0.0)
+                at = np.flatnonzero(context)
+                total, own = np.add.reduceat(n, at), np.add.reduceat(own, at)
+                if part >= n_parts:
+                    yield as_batch(ANSWER, [-1] * len(at), [part] * len(at), [0] * len(at), [None] * len(at), key[order][first][at], total, own)
+                    kept = np.zeros(len(at), np.int64)
+                else:
+                    kept = retained(total, own)
+                group = np.cumsum(new) - 1
+                said = [np.empty(len(order), np.uint32), np.empty(len(order), np.uint32)]
+                said[0][order], said[1][order] = n[group], kept[np.cumsum(context) - 1][group]
+            cuts = np.concatenate([[0], np.cumsum(sizes)])
+            for lo in range(0, len(sizes), 500):
+                hi = min(len(sizes), lo + 500)
+                yield as_batch(ANSWER, t["chunk"][lo:hi].to_pylist(), [part] * (hi - lo), sizes[lo:hi], [packed(*[x[a:b] for x in said]) for a, b in zip(cuts[lo:hi], cuts[lo + 1 : hi + 1])], *[[None] * (hi - lo)] * 3)
+
+    return stream
+
+
+def retained(total: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The totals of the contexts whose gain is above PENALTY, 0 for the others."""
+    n = np.maximum(total, 1)
+    return np.where((total > 0) & (own - n * np.log(n - 1 + STRENGTH) > PENALTY), total, 0)
+
+
+def suffix_tree_scores(docs: DataFrame, depth: int = DEPTH, part_bytes: int = PART) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # the row's number is drawn once and written, so heads, parcels and tokens agree on it
-    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "rows", "zstd")
-    symbols, tree, _ = learn(rows)
-    n_parts = parts(spark, text_bytes(rows), 8e6)
-    model = spark.sparkContext.broadcast((symbols, tree))
+    small_batches(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    size = text_bytes(docs)
+    n_owners = min(MOST_PARTS, int(size / part_bytes) + 1)
+    texts = chunked(docs, "lm-chunks", parts(spark, size / 2))
+    model = Model(n_owners)
+    answers: list[DataFrame] = []
+
+    def open_text(model: Model, batch: pa.RecordBatch, i: int, ids, missing, data, at, levels: int) -> Text:
+        text = Text(ids, missing, data, at)
+        for level in range(levels):
+            _, arrays, back = text.questions(level, model)
+            said = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            got = batch.column(f"a{level}")[i]
+            for x in got.as_py() if got.is_valid else ():
+                for k, values in enumerate(unpacked(x["data"], x["n"], *[(np.uint32, 1)] * (2 if level else 1))):
+                    said[k].append(values)
+            text.learn(level, model, back, [np.concatenate(x) for x in said])
+        return text
+
+    def joined() -> DataFrame:
+        out = texts
+        for k, a in enumerate(answers):
+            out = out.join(a.withColumnRenamed("said", f"a{k}"), "chunk", "left")
+        return out
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sym, tr = model.value
-        log_count = np.log10(sym.count + 0.5)
-        held, size = [], 0
-
-        def parcels():
-            row, word, count, kind, train = (np.concatenate([x[i] for x in held]) for i in range(5))
-            part = ((word >> U(32)) % U(n_parts)).astype(np.int32)
-            order = np.lexsort((row, part))
-            row, word, count, kind, train, part = row[order], word[order], count[order], kind[order], train[order], part[order]
-            edge = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
-            cut = lambda x: [x[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
-            yield as_batch(SENT, part[edge[:-1]], *[[None] * (len(edge) - 1)] * 9, cut(row), cut(word), cut(count.astype(np.int32)), cut(kind.astype(np.int16)), cut(train))
+    for level in range(depth + 1):
+        known = spark.sparkContext.broadcast(model)
+
+        def ask(batches: Iterator[pa.RecordBatch], level=level, known=known) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i, (chunk, *rest) in enumerate(opened(batch)):
+                    text = open_text(known.value, batch, i, *rest, level)
+                    part, arrays, _ = text.questions(level, known.value)
+                    yield from parcels(ASK, part, arrays, chunk)
+
+        asked = joined().mapInArrow(ask, "part int, chunk long, n long, data binary").repartition(parts(spark, size, part_bytes), "part").sortWithinPartitions("part")
+        said = saved(asked.mapInArrow(_answer(level, n_owners), ANSWER_SQL), "answers")
+        answers.append(said.where("chunk >= 0").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("part", "n", "data"))).alias("said")))
+        sums = said.where("chunk < 0").groupBy("key").agg(F.sum("total").alias("total"), F.sum("own").alias("own")).orderBy("key").collect()  # one row, or one a parted context
+        new = Model(n_owners)
+        new.tokens, new.types, new.parted = model.tokens, model.types, list(model.parted)
+        if level == 0:
+            new.tokens, new.types = (int(sums[0].total), int(sums[0].own)) if sums else (0, 0)
+        else:
+            new.parted.append((np.array([r.key for r in sums], np.int64), retained(np.array([r.total for r in sums], np.int64), np.array([r.own for r in sums], np.float64))))
+        model = new
+    final = spark.sparkContext.broadcast(model)
 
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, row = batch.column("doc_id").to_pylist(), batch.column("row").to_numpy()
-            train = np.array([in_training(x) for x in ids], bool)
-            for lo, n, h, tail, doc in tokens(batch):
-                s, place = sym.of(h, tail), sym.place(h)
-                common = place >= 0
-                rare = (s >= 1) & (s <= CLASSES)
-                base = np.where(common, log_count[place], 0.0)
-                summed = lambda x: np.bincount(doc, weights=x, minlength=n)
-                many = np.bincount(doc[rare] * CLASSES + s[rare] - 1, minlength=n * CLASSES).reshape(n, CLASSES)
-                part = slice(lo, lo + n)
-                known = summed(common & (sym.count[place] > 0)).astype(np.int64)
-                yield as_batch(SENT, np.full(n, -1, np.int32), row[part], ids[part], ~train[part], np.bincount(doc, minlength=n), summed(tr.score(s, doc)), summed(base), known, summed(base * rare), many.tolist(), *[[None] * n] * 5)
-                at = np.flatnonzero(~common)
-                with np.errstate(over="ignore"):
-                    _, first, count = np.unique(mix(h[at] + doc[at].astype(U) * U(0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
-                at = at[first]
-                held.append((row[part][doc[at]], h[at], count, s[at] - 1, train[part][doc[at]]))
-                size += len(at)
-                if size > 500_000:
-                    yield from parcels()
-                    held, size = [], 0
-        if size:
-            yield from parcels()
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        read = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t[name]])
-        row, word, count, kind, train = read("rows", np.int64), read("words", U), read("counts", np.int32), read("classes", np.int16), read("trains", bool)
-        _, first, at = np.unique(word, return_index=True, return_inverse=True)
-        c = np.bincount(at, weights=count * train, minlength=len(first))
-        order = np.argsort(row, kind="stable")
-        edge = np.concatenate([[0], np.flatnonzero(np.diff(row[order])) + 1])
-        added = lambda x: np.add.reduceat(x[order], edge)
-        r, base, known = row[order][edge], added(np.log10(c + 0.5)[at] * count), added((c > 0)[at] * count)
-        # parcels of rows for the next partitions, not a row each: their number does not grow with rows times partitions
-        bucket = (mix(r.view(U)) % U(n_parts)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
-        cut = lambda x: [x[order][lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:])]
-        n = len(cuts) - 1
-        yield as_batch(SUM, bucket[order][cuts[:-1]], cut(r), cut(base), cut(known.astype(np.int64)), [None] * n, [None] * n)
-        tokens_of = np.bincount(kind[first], weights=c, minlength=CLASSES).astype(np.int64)
-        types_of = np.bincount(kind[first], weights=c > 0, minlength=CLASSES).astype(np.int64)
-        yield as_batch(SUM, (-1 - np.arange(CLASSES)).astype(np.int32), *[[None] * CLASSES] * 3, tokens_of, types_of)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        read = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in t[name]])
-        row, at = np.unique(read("rows", np.int64), return_inverse=True)
-        yield as_batch(FAR, row, np.bincount(at, weights=read("base", np.float64)), np.bincount(at, weights=read("known", np.int64)).astype(np.int64))
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sym, tr = model.value
-        log_count = np.log10(sym.count + 0.5)
-        for batch in batches:
-            row = batch.column("row").to_numpy()
-            train = np.array([in_training(x) for x in batch.column("doc_id").to_pylist()], bool)
-            for lo, n, h, tail, doc in tokens(batch):
-                s, place, word = sym.of(h, tail), sym.place(h), h.view(np.int64)
-                common, rare = place >= 0, (s >= 1) & (s <= CLASSES)
-                before = []
-                for k in range(1, DEPTH + 1):
-                    ok = np.zeros(len(h), bool)
-                    ok[k:] = doc[k:] == doc[:-k]
-                    x = np.zeros(len(h), np.int64)
-                    x[k:] = word[:-k]
-                    before.append(pa.array(x, pa.int64(), mask=~ok))
-                kind = pa.array((s - 1).astype(np.int32), pa.int32(), mask=~rare)
-                p = tr.score(s, doc) + np.where(rare & common, log_count[place], 0.0)
-                whole = as_batch(TOKEN, row[lo : lo + n][doc], word, *before, train[lo : lo + n][doc], kind, ~common, p)
-                for at in range(0, len(h), 50_000):
-                    yield whole.slice(at, 50_000)
-
-    sent = saved(rows.mapInArrow(score, SENT_SQL), "scores")
-    parcels_of = sent.where("part >= 0").select("part", "rows", "words", "counts", "classes", "trains")
-    sums = saved(parcels_of.repartition(n_parts, "part").mapInArrow(gather, "bucket int, rows binary, base binary, known binary, tokens long, types long"), "words")
-    n, v = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
-    for x in sums.where("bucket < 0").groupBy("bucket").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).collect():  # CLASSES rows
-        n[-1 - x.bucket], v[-1 - x.bucket] = x.n, x.v
-    for i, k in enumerate(symbols.kinds()):
-        n[k] += symbols.count[i]
-        v[k] += symbols.count[i] > 0
-    total, types = int(n.sum()), int(v.sum())
-    rest = [float(x) for x in np.log10(n[:CLASSES] + 0.5 * (v[:CLASSES] + 1))]
-    loss = F.aggregate(F.zip_with("many", F.array(*[F.lit(x) for x in rest]), lambda m, x: m * x), F.lit(0.0), lambda a, b: a + b)
-    of_row = sums.where("bucket >= 0").select("bucket", "rows", "base", "known").repartition(n_parts, "bucket").mapInArrow(add, "row long, far double, far_known long")
-    each_token = saved(rows.mapInArrow(each, TOKEN_SQL), "tokens")
-    far_words = saved(each_token.where("far").groupBy("word").agg(F.log10(F.sum(F.col("train").cast("int")) + 0.5).alias("own")), "far-words")
-    of_class = F.element_at(F.array(*[F.lit(x) for x in rest]), F.col("kind") + 1)
-    priced = each_token.where("not far").withColumn("own", F.lit(0.0)).unionByName(each_token.where("far").join(far_words, "word"))
-    priced = priced.withColumn("p", F.col("p") + F.col("own") - F.when(F.col("kind").isNull(), 0.0).otherwise(of_class)).drop("own", "kind", "far")
-    heads = sent.where("part < 0").select("row", "doc_id", "held_out", "n_tokens", "tree", "base", "known", (F.col("rare") - loss).alias("rare"))
-    far = F.coalesce("far", F.lit(0.0))
-    return heads.join(of_row, "row", "left").join(deepened(priced), "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("far_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + far - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (types + 1))))).alias("base_score"), (F.col("tree") + F.col("rare") + far + F.coalesce("deeper", F.lit(0.0))).alias("score"),
-    )
+            for i, (_, ids, missing, data, at) in enumerate(opened(batch)):
+                text = open_text(final.value, batch, i, ids, missing, data, at, depth + 1)
+                n = len(ids)
+                summed = lambda x: np.bincount(text.doc, weights=x, minlength=n)
+                yield as_batch(SCORE, pa.array(ids, pa.int64(), mask=missing), text.held, np.bincount(text.doc, minlength=n), summed(text.count > 0).astype(np.int64), summed(np.log10(text.base)), summed(np.log10(text.p)))
+
+    scored = joined().mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

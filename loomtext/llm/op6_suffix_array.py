@@ -234,7 +234,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, _, data, at in opened(batch):
+            for chunk, _, _, data, at in opened(batch):
                 part, key, _, _ = _Anchors(data, at, length, lead).asked(n_owners)
                 yield from parcels(ASK, part, [key], chunk)
 
@@ -273,7 +273,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
 
         for batch in batches:
             said = batch.column("answers")
-            for i, (chunk, ids, data, at) in enumerate(opened(batch)):
+            for i, (chunk, ids, _, data, at) in enumerate(opened(batch)):
                 anchors = _Anchors(data, at, length, lead)
                 part, _, _, question = anchors.asked(n_owners)
                 if not len(part) or not said[i].is_valid:
@@ -325,7 +325,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (_, ids, data, at) in enumerate(opened(batch)):
+            for i, (_, ids, _, data, at) in enumerate(opened(batch)):
                 edge = np.zeros(len(data) + 1, np.int32)
                 of = batch.column("spans_of")[i]
                 for x in of.as_py() if of.is_valid else ():
@@ -381,7 +381,7 @@ def _splitters(texts: DataFrame, n_parts: int, length: int, lead: int) -> np.nda
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, at in opened(batch):
+            for _, _, _, data, at in opened(batch):
                 anchors = _Anchors(data, at, length, lead)
                 pick = np.argsort(mix(anchors.anchor + anchors.start.astype(U)))[:each]
                 if len(pick):

@@ -180,6 +180,62 @@ def test_op2_base_and_model(spark, docs, none):
     assert suffix_tree_scores(none).count() == 0
 
 
+def plain_tree(texts, train, depth=2):
+    """Scores by a suffix tree in plain dicts."""
+    from loomtext.llm.op2_suffix_tree import MIN_COUNT, MIN_WORD, PENALTY, STEPS, STRENGTH
+
+    c = Counter(w for t, ok in zip(texts, train) if ok for w in t)
+    n, v = sum(c.values()), len(c)
+    p = [[(c[w] + 0.5) / (n + 0.5 * (v + 1)) for w in t] for t in texts]
+    for k in range(1, depth + 1):
+        follows, before = defaultdict(Counter), {}
+        for t, ok, q in zip(texts, train, p):
+            for i in range(k, len(t)):
+                before[tuple(t[i - k : i]), t[i]] = 10 ** (-min(255, round(-STEPS * math.log10(q[i]))) / STEPS)
+                if ok:
+                    follows[tuple(t[i - k : i])][t[i]] += 1
+        total = {}
+        for ctx, nexts in follows.items():
+            seen = {w: m for w, m in nexts.items() if c[w] >= MIN_WORD}
+            m = sum(seen.values())
+            grown = (c[ctx[0]] if k == 1 else shorter[ctx[:-1]][ctx[-1]]) >= MIN_COUNT  # tokens after it in training
+            gain = sum(x * math.log((x - 1 + STRENGTH * before[ctx, w]) / ((m - 1 + STRENGTH) * before[ctx, w])) for w, x in seen.items()) if m else 0
+            if grown and m and gain > PENALTY:
+                total[ctx] = m
+        p = [[q[i] if i < k or tuple(t[i - k : i]) not in total else ((follows[tuple(t[i - k : i])][w] if c[w] >= MIN_WORD else 0) + STRENGTH * q[i]) / (total[tuple(t[i - k : i])] + STRENGTH) for i, w in enumerate(t)] for t, q in zip(texts, p)]
+        shorter = follows
+    return [sum(math.log10(x) for x in q) for q in p]
+
+
+def test_op2_is_the_plain_tree_over_chunks_and_owners(spark, monkeypatch):
+    import loomtext.llm._chunks as chunks
+
+    monkeypatch.setattr(chunks, "CHUNK", 4000)
+    few = VOCAB[:60]
+    texts = [" ".join(RNG.choice(few) if RNG.random() < 0.9 else "the" for _ in range(RNG.randrange(0, 120))) for _ in range(150)]
+    texts += [texts[3] + " " + texts[4], "the the the the the the", say(50), "", "ONE Two", "new " + texts[5]] * 3
+    ids = list(range(len(texts)))
+    split = [[*"".join(x.lower() if x.isascii() else x for x in t).split(), None] for t in texts]
+    want = plain_tree(split, [zlib.crc32(str(i).encode()) % 5 != 1 for i in ids])
+    df = spark.createDataFrame(rows(texts), SCHEMA).repartition(3)
+    for part_bytes in (1 << 24, 2000):
+        got = {r.doc_id: r.score for r in suffix_tree_scores(df, part_bytes=part_bytes).collect()}
+        assert got == pytest.approx(dict(zip(ids, want)), rel=1e-9)
+
+
+def test_op2_odd_tables(spark):
+    held, train = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1], [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 != 1]
+    run = lambda data: {r.doc_id: r for r in suffix_tree_scores(spark.createDataFrame([(k, t, "en", "s", 0, 0, "", "", "") for k, t in data], SCHEMA)).collect()}
+    got = run([(i, say(20)) for i in held])
+    assert all(r.held_out and r.score == 0 and r.base_score == 0 and r.train_tokens == 0 for r in got.values())
+    assert all(r.n_tokens == 1 and r.score < 0 for r in run([(i, None) for i in train]).values())
+    assert all(r.n_tokens == 2 and r.score < 0 for r in run([(i, f"word{i}") for i in train]).values())
+    flat = run([(i, " ".join(f"w{RNG.randrange(3000)}" for _ in range(500))) for i in train])
+    assert all(r.n_tokens == 501 and -3000 < r.score < 0 for r in flat.values())
+    long_ = run([(train[0], "some words " * 400_000), (train[1], "a")])
+    assert long_[train[0]].n_tokens == 800_001 and long_[train[0]].score > long_[train[0]].base_score
+
+
 def test_op2_beats_the_base_on_held_out_texts(spark, sf):
     got = suffix_tree_scores(spark.read.parquet(f"{sf}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
