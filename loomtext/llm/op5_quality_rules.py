@@ -12,7 +12,9 @@ cutoff loses more than `risk` of its stratum's good documents, whichever is chos
 documents for nothing. A stratum with too few labels certifies no cutoff and rejects by the base rule only.
 
 Defined cases: null text has no words and fails the base rule; null lang is a stratum of its own; a doc_id labelled
-more than once counts once, as good only if all its labels say so; rows that repeat a doc_id are judged each.
+more than once counts once, as good only if all its labels say so; rows that repeat a doc_id are judged each, and are
+one document of the holdout, with the worst badness among them. The promise is about the cutoffs: good documents that
+the base rule rejects are outside of it, and those of them are not in the holdout.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._common import as_batch, saved, small_batches
+from ._common import as_batch, documents, saved
 from ._words import U, grams, hashes, mix, pieces, words
 
 #: Most share of good documents that a stratum may lose, and the chance that any stratum loses more.
@@ -33,7 +35,7 @@ RISK, LEVEL, WORTH = 0.02, 0.05, 0.99
 #: Cutoffs tried are multiples of STEP thousandths.
 STEP, TOP = 25, 1000
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_shouts", "n_capital_words", "n_stutters"]
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("stratum", pa.string()), *((c, pa.int64()) for c in COUNTS)])
+SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("stratum", pa.string()), *((c, pa.int64()) for c in COUNTS)])
 _SYMBOL, _SHOUT, _LETTER, _CAPITAL = (np.zeros(256, bool) for _ in range(4))
 _SYMBOL[list(b"#*$%&|<>")] = True
 _SHOUT[ord("!")] = True
@@ -43,7 +45,7 @@ BLANK = b" \t\r\x0b\x0c"
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, ids, strata = batch.column("text"), batch.column("doc_id"), batch.column("stratum")
+        texts, ids, keys, strata = (batch.column(c) for c in ("text", "doc_id", "text_key", "stratum"))
         for p in pieces(texts):
             w = words(p)
             h = hashes(p, w)
@@ -82,16 +84,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         seen.add(line)
                 lines.append(twice)
             a, b = w.first[:-1], w.first[1:]
-            yield as_batch(SCHEMA, ids.slice(p.lo, n), strata.slice(p.lo, n), b - a, of_word[b] - of_word[a], summed(_SYMBOL[p.data]), lines, repeat[b] - repeat[a], summed(_SHOUT[p.data]), capital[b] - capital[a], stutter[b] - stutter[a])
+            yield as_batch(SCHEMA, ids.slice(p.lo, n), keys.slice(p.lo, n), strata.slice(p.lo, n), b - a, of_word[b] - of_word[a], summed(_SYMBOL[p.data]), lines, repeat[b] - repeat[a], summed(_SHOUT[p.data]), capital[b] - capital[a], stutter[b] - stutter[a])
 
 
 def counts(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum, the counts, base_failed and badness of each text."""
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(stratum).cast("string").alias("stratum"))
+    """doc_id, text_key, stratum, the counts, base_failed and badness of each text."""
+    rows = documents(docs, F.col(stratum).cast("string").alias("stratum"))
     share = lambda c: F.floor(F.lit(TOP) * F.col(c) / F.greatest(F.col("n_words"), F.lit(1)))
     return (
-        rows.mapInArrow(_counts, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+        rows.mapInArrow(_counts, "doc_id long, text_key long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
         .withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
         .withColumn("badness", F.least(F.lit(TOP), F.greatest(F.floor(F.lit(TOP) * (F.col("n_symbols") + F.col("n_shouts")) / F.greatest(F.col("n_words"), F.lit(1))), share("n_repeat_words"), share("n_capital_words"), share("n_stutters"), share("n_dup_lines"))))
     )
@@ -105,7 +106,8 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 def cutoffs(rated: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, worth: float = WORTH) -> DataFrame:
     """stratum, cutoff: documents whose badness is above the cutoff may go."""
     own = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")).where("quality is not null")
-    bins = rated.where("not base_failed").join(own, "doc_id").groupBy("stratum", "quality", F.floor(F.col("badness") / STEP).cast("int").alias("bin")).count()
+    first = rated.where("not base_failed").groupBy("doc_id").agg(F.max("badness").alias("badness"), F.min("stratum").alias("stratum"))
+    bins = first.join(own, "doc_id").groupBy("stratum", "quality", F.floor(F.col("badness") / STEP).cast("int").alias("bin")).count()
     n_strata = rated.select("stratum").distinct().count()
 
     def walk(key: tuple, table: pd.DataFrame) -> pd.DataFrame:

@@ -56,9 +56,9 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (whole), taken (words, repeats counted)."""
+    """doc_id, text_key, source, size, source_size, target, copies (whole), taken (words, repeats counted)."""
     sizes = saved(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"), F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("draw"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tie"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"), F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))).alias("draw"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
         .withColumn("tilt_size", F.expr("1000 * size div (size + 500)")),
         "sizes",
     )
@@ -78,7 +78,7 @@ def mix_sources(docs: DataFrame, seed: str = SEED) -> DataFrame:
     odds = u / (1 - u) / (p / (1 - p))
     ranked = saved(
         expected.withColumn("copies", copies).withColumn("rank", F.when((p > 0) & (F.col("copies") < MOST) & (F.col("size") > 0), odds / (1 + odds)))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", "rank", "tie"),
+        .select("doc_id", "source", "size", "source_size", "target", "copies", "rank", "text_key"),
         "ranked",
     )
     left = ranked.groupBy("source").agg((F.round(F.max("target")).cast("long") - F.sum(F.col("copies") * F.col("size"))).alias("need"))
@@ -86,11 +86,11 @@ def mix_sources(docs: DataFrame, seed: str = SEED) -> DataFrame:
     out = ranked.join(edge.withColumnRenamed("source", "s"), same, "left").drop("s")
     inside = (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     last = out.where(inside)
-    run = Window.partitionBy("source").orderBy("rank", "doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy("source").orderBy("rank", "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     last = last.withColumn("extra", F.greatest(F.lit(0), F.least("size", F.col("need") - F.coalesce(F.sum("size").over(run), F.lit(0)))))
     rest = out.where(~F.coalesce(inside, F.lit(False))).withColumn("extra", F.when(F.col("rank") < F.col("low"), F.col("size")).otherwise(0))
     both = rest.unionByName(last)
-    return both.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
+    return both.select("doc_id", "text_key", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
 
 
 def _boundary(ranked: DataFrame, left: DataFrame) -> DataFrame:

@@ -291,7 +291,7 @@ def test_op4(spark, none):
     edited = item.split(" ")
     edited[29] = "new"
     bench = spark.createDataFrame([(1, item), (2, other), (3, None), (4, ""), (5, "three short words"), (None, item)], "item_id long, text string")
-    texts = [say(50) + " " + item + " " + say(20), say(80), other, say(10) + "\n" + " ".join(edited), "three short words", "say three short words", None, "", " ".join(item.split(" ")[:12]) + say(30)]
+    texts = [say(50) + " " + item + " " + say(20), say(80), other, say(10) + "\n" + " ".join(edited), "three short words", "say three short words", None, "", " ".join(item.split(" ")[:12]) + say(30), " ".join(item.split(" ")[:28])]
     got = decontaminate(spark.createDataFrame([*rows(texts), rows(texts)[0]], SCHEMA), bench).collect()
 
     def weighted(t):
@@ -303,16 +303,28 @@ def test_op4(spark, none):
         w = (t or "").split()
         for i, b in ((1, item), (2, other), (5, "three short words")):
             n = len(b.split())
-            for s in range(len(w) - n + 1) if n >= 5 or len(w) == n else ():
+            for s in range(max(len(w) - n + 1, int(len(w) >= 5 and n > len(w)))):
                 x, y = weighted(" ".join(w[s : s + n])), weighted(b)
                 j = sum((x & y).values()) / sum((x | y).values())
                 if j >= 0.8 and j > want.get((k, i), (0, 0))[0]:
                     want[k, i] = (j, s)
     assert {(r.doc_id, r.item_id): (pytest.approx(r.similarity), r.start_word) for r in got} == want
-    assert set(want) == {(0, 1), (2, 2), (3, 1), (4, 5)} and decontaminate(none, bench).count() == 0
+    assert set(want) == {(0, 1), (2, 2), (3, 1), (4, 5), (5, 5), (9, 1)} and len(got) == 6 and decontaminate(none, bench).count() == 0
     assert decontaminate(spark.createDataFrame(rows(texts), SCHEMA), bench.where("false")).count() == 0
 
 
+def test_op4_many_items_and_repeated_ids(spark):
+    items = [say(RNG.randrange(1, 40)) for _ in range(2300)]
+    texts = [say(20) + " " + items[k] + " " + say(9) for k in (3, 1001, 1500, 2299)] + [say(60)]
+    data = [(k // 2, t, "en", "s", 0, 0, "", "", "") for k, t in enumerate(texts)]
+    bench = spark.createDataFrame([(i // 2, t) for i, t in enumerate(items)], "item_id long, text string")
+    got = decontaminate(spark.createDataFrame(data, SCHEMA), bench).collect()
+    long_ = {(k // 2, i // 2) for k, i in enumerate((3, 1001, 1500, 2299)) if len(items[i].split()) >= 5}
+    short = {(r[0], i // 2) for r in data for i, x in enumerate(items) if len(x.split()) < 5 and f" {x} " in f" {r[1]} "}
+    assert {(r.doc_id, r.item_id) for r in got} == long_ | short and long_
+    assert len(got) == len({(r.doc_id, r.text_key, r.item_id) for r in got})
+
+
 def test_op5_counts(spark, docs, none):
     got = counts(docs).collect()
     own = texts_of(docs)
