@@ -1,12 +1,13 @@
 """The corpus pipeline: quality rules, line dedup, n-gram Jaccard join, benchmark decontamination, mixing.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Documents with a null doc_id pass
-the filters, as no verdict can name them.
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Rows are known by doc_id and a hash
+of their text, so a verdict on one row that repeats a doc_id leaves the others alone. Rows with a null doc_id pass the
+filters, as no verdict can name them, and are mixed like all others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loomtext.llm._common import saved, without
 from loomtext.llm.op4_decontamination import decontaminate
@@ -18,10 +19,18 @@ from loomtext.llm.op9_line_dedup import line_dedup
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+KEYS = ("doc_id", "text_key")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS, F.xxhash64("text").alias("text_key"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     rules = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without(docs.select(COLUMNS), saved(rules.where("not kept and doc_id is not null").select("doc_id").distinct(), "rejected"))
+    rejected = saved(rules.where("not kept and doc_id is not null").select(*KEYS).distinct(), "rejected")
+    return without(keyed(docs), rejected, KEYS).select(COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,20 +41,28 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays, that with the smallest doc_id."""
-    return without(docs.select(COLUMNS), saved(ngram_join(docs).where("doc_id <> class_id").select("doc_id"), "near"))
+    """One document of each near-duplicate class stays, that with the smallest doc_id; of equal rows one."""
+    later = saved(ngram_join(docs).where("not is_first").select(*KEYS).distinct(), "near")
+    left = without(keyed(docs), later, KEYS)
+    again = saved(left.where("doc_id is not null").select(*KEYS).groupBy(*KEYS).count().where("count > 1").select(*KEYS), "again")
+    once = left.join(again, list(KEYS), "left_semi").dropDuplicates(list(KEYS))
+    return (without(left, again, KEYS).unionByName(once) if not again.isEmpty() else left).select(COLUMNS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     leaks = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs.select(COLUMNS), saved(leaks.select("doc_id").distinct(), "leaking"))
+    return without(keyed(docs), saved(leaks.select(*KEYS).distinct(), "leaking"), KEYS).select(COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with their whole copies and words taken."""
-    mix = mix_sources(docs).where("taken > 0").select("doc_id", "copies", "taken").dropDuplicates(["doc_id"])
-    return docs.select(COLUMNS).join(mix, "doc_id")
+    # equal rows, and rows with a null doc_id, are matched one to one
+    match = lambda df: df.withColumn("_none", F.col("doc_id").isNull()).withColumn("_id", F.coalesce("doc_id", F.lit(0)))
+    run = Window.partitionBy("_id", "_none", "text_key")
+    mix = match(mix_sources(docs).select(*KEYS, "copies", "taken")).withColumn("_nth", F.row_number().over(run.orderBy(F.desc("taken")))).where("taken > 0")
+    rows = match(keyed(docs)).withColumn("_nth", F.row_number().over(run.orderBy("source", "lang")))
+    return rows.join(mix.drop("doc_id"), ["_id", "_none", "text_key", "_nth"]).select(*COLUMNS, "copies", "taken")
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("mixing", mixing)]
