@@ -8,7 +8,7 @@ fingerprinted: 128-bit SimHash. A fingerprint within RADIUS of an item's is with
 candidate is then verified exactly. At similarity 0.8 the distance is 19.4 bits on average with deviation 4.1, so
 RADIUS 31 leaves out fewer than one in 400 of such windows and none that are equal.
 
-Documents are scanned once, whatever the benchmark's size: a bitmap of the shingles of all items (16 bits each, 128 MB
+Documents are scanned once, whatever the benchmark's size: a bitmap of the shingles of all items (256 bits each, 128 MB
 at most; a full one passes more) and the least weight of each item length mark the windows that can pass, and only
 the stretches that these cover are written. The index is then broadcast in slices of at most SLICE_ITEMS items and
 SLICE_SHINGLES hashes (45 MB and 32 MB), and each slice reads the stretches, not the documents.
@@ -140,7 +140,7 @@ class Gate:
 
     def mark(self, items: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
         if not self.bits:
-            self.bits = int(min(30, max(16, np.ceil(np.log2(16 * self.n)))))
+            self.bits = int(min(30, max(16, np.ceil(np.log2(256 * self.n)))))
             self.map = np.zeros(1 << (self.bits - 3), np.uint8)
         at = np.concatenate([x[2] for x in items]) >> U(64 - self.bits)
         np.bitwise_or.at(self.map, at >> U(3), (128 >> (at & U(7)).astype(np.uint8)).astype(np.uint8))
@@ -161,6 +161,8 @@ class Gate:
         else:
             held = np.concatenate([[0], np.cumsum(np.where(hit, weight, 0))])
             for n, least in self.least.items():
+                if held[-1] < least - 1e-9:
+                    continue
                 count = min(n - SHINGLE + 1, len(g))
                 start = np.flatnonzero(held[count:] - held[: len(g) - count + 1] >= least - 1e-9)
                 np.add.at(edge, start, 1)
