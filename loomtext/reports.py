@@ -23,10 +23,18 @@ def table(title: str, rows: list[dict]) -> str:
     return "\n".join([f"## {title}", "", "| " + " | ".join(head) + " |", "| " + " | ".join("---" for _ in head) + " |", *["| " + " | ".join(number(r[k]) for k in head) + " |" for r in rows], ""])
 
 
+#: Rows that a table of a report shows; what is beyond is counted in a line below it.
+SHOWN = 1000
+
+
 def report(title: str, summary: DataFrame | None = None, **tables: DataFrame) -> str:
-    """A report of a one-row summary and small tables (callers limit these)."""
+    """A report of a one-row summary and small tables: their first SHOWN rows and how many more there are."""
     out = [f"# {title}", ""]
     if summary is not None:
         out.append(section("Summary", summary.limit(1).collect()[0].asDict(recursive=True)))
-    out += [table(name.replace("_", " "), [r.asDict(recursive=True) for r in df.limit(1000).collect()]) for name, df in tables.items()]
+    for name, df in tables.items():
+        rows = [r.asDict(recursive=True) for r in df.limit(SHOWN + 1).collect()]
+        out.append(table(name.replace("_", " "), rows[:SHOWN]))
+        if len(rows) > SHOWN:
+            out.append(f"({df.count() - SHOWN} more rows)\n")
     return "\n".join(out)

@@ -230,5 +230,6 @@ def test_line_numbers_over_splits(spark, tmp_path):
 
 
 def test_report(spark):
-    text = reports.report("Run", spark.createDataFrame([(2.0, 0.126)], "n double, r double"), rows=spark.createDataFrame([], "a int"))
+    text = reports.report("Run", spark.createDataFrame([(2.0, 0.126)], "n double, r double"), rows=spark.createDataFrame([], "a int"), long=spark.range(1300))
+    assert "(300 more rows)" in text and "| 999 |" in text
     assert "- n: 2\n- r: 0.13" in text and "(none)" in text
