@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..profile import ZH, TextProfile
 from . import text as T
@@ -17,10 +17,11 @@ def _named(*rules: tuple[Column, str]) -> Column:
     return F.filter(F.array(*[F.when(hit, F.lit(name)) for hit, name in rules]), lambda x: x.isNotNull())
 
 
-def quality_issues(text: Column, payoff: Column, hook: Column, p: TextProfile = ZH) -> Column:
-    """Sorted names of the quality rules that fire."""
+def quality_issues(text: Column, payoff: Column, hook: Column, p: TextProfile = ZH, chars: Column | None = None, repeated: Column | None = None) -> Column:
+    """Sorted names of the quality rules that fire. chars, repeated: columns that already hold these, if any."""
     end = T.strip(text)
-    repeats = F.size(T.repeated_runs(text, p)) > 0
+    chars = T.counted_chars(text, p) if chars is None else chars
+    repeats = F.size(T.repeated_runs(text, p) if repeated is None else repeated) > 0
     payoff, hook = T.strip(F.coalesce(payoff, F.lit(""))), T.strip(F.coalesce(hook, F.lit("")))
     generic = F.lit(False)
     for phrase in p.generic_phrases:
@@ -32,33 +33,43 @@ def quality_issues(text: Column, payoff: Column, hook: Column, p: TextProfile =
         (text.rlike(MARKDOWN), "markdown_residue"),
         (F.size(T.present(text, p.meta_markers)) > 0, "meta_evaluation_residue"),
         ((payoff != "") & (T.term_coverage(payoff, text, p) < p.coverage), "no_visible_payoff"),
-        ((T.counted_chars(text, p) >= p.padded) & repeats, "padding_to_length"),
+        ((chars >= p.padded) & repeats, "padding_to_length"),
         (repeats, "semantic_repetition"),
         ((end != "") & ~end.rlike(f"[{p.prose_end}]$"), "unnatural_ending"),
         ((hook != "") & (T.term_coverage(hook, tail, p) < p.coverage), "weak_ending_hook"),
     )
 
 
-def score(text: Column, must: Column, must_not: Column, payoff: Column, hook: Column, p: TextProfile = ZH) -> dict[str, Column]:
-    """The metric columns of an output."""
-    chars, repetition, covered = T.counted_chars(text, p), T.repeated_ngram_ratio(text, 4, p), T.coverage(text, must)
-    forbidden = F.filter(F.coalesce(must_not, F.array().cast("array<string>")), lambda x: (x != "") & F.contains(text, x))
-    trace = T.present(text, p.trace_phrases)
+def scored(rows: DataFrame, keep: list[str], text: str, must: Column, must_not: Column, payoff: Column, hook: Column, p: TextProfile = ZH) -> DataFrame:
+    """keep and the metrics of each output, in one projection after another: what several rules need is computed once.
+
+    The last step is a generator over one element, through which no filter on a metric can be pushed: a filter there
+    would have the rules evaluated twice. Filters on the kept columns still reach the scan."""
+    t, none = F.col("_text"), F.array().cast("array<string>")
+    must, must_not, payoff, hook = (c.alias(n) for c, n in ((must, "_must"), (must_not, "_not"), (payoff, "_payoff"), (hook, "_hook")))
+    own = rows.select(*keep, F.col(text).alias("_text"), T.counted_only(F.col(text), p).alias("_own"), must, must_not, payoff, hook)
+    grams = own.withColumn("_grams", T.windows(F.col("_own"), 4))
+    base = grams.select(
+        *keep, "_text", "_must", "_payoff", "_hook", F.length("_own").alias("_chars"), T.distinct_share(F.col("_grams")).alias("_repetition"), T.coverage(t, F.col("_must")).alias("_covered"),
+        F.filter(F.coalesce("_not", none), lambda x: (x != "") & F.contains(t, x)).alias("_forbidden"), T.present(t, p.trace_phrases).alias("_trace"), T.run_windows(t, p).alias("_each"),
+    )
+    base = base.withColumn("_order", F.sort_array("_each")).withColumn("_repeated", T.thrice(F.col("_each"), F.col("_order"))).drop("_each", "_order")
     first = _named(
-        (chars < p.shortest, "length_short"),
-        (chars > p.longest, "length_long"),
-        (F.size(T.present(text, p.outline_markers)) > 0, "outline_leak"),
-        (covered < 1.0, "must_include_missing"),
-        (F.size(forbidden) > 0, "forbidden_violation"),
-        (repetition > p.repetition, "repetition"),
-        (F.size(trace) > 0, "ai_trace"),
+        (F.col("_chars") < p.shortest, "length_short"),
+        (F.col("_chars") > p.longest, "length_long"),
+        (F.size(T.present(t, p.outline_markers)) > 0, "outline_leak"),
+        (F.col("_covered") < 1.0, "must_include_missing"),
+        (F.size("_forbidden") > 0, "forbidden_violation"),
+        (F.col("_repetition") > p.repetition, "repetition"),
+        (F.size("_trace") > 0, "ai_trace"),
     )
-    failures = F.concat(first, quality_issues(text, payoff, hook, p))
-    return {
-        "char_count": chars, "must_include_coverage": F.round(covered, 4), "forbidden_hits": forbidden, "ai_trace_count": F.size(trace), "ai_trace_matches": trace,
-        "repeated_ngram_ratio": F.round(repetition, 4), "failure_types": failures, "hard_gate_pass": F.size(F.array_except(failures, T.texts(SOFT))) == 0,
-        "repeated_runs": F.slice(T.repeated_runs(text, p), 1, 5),
+    judged = base.withColumn("_failures", F.concat(first, quality_issues(t, F.col("_payoff"), F.col("_hook"), p, F.col("_chars"), F.col("_repeated"))))
+    metrics = {
+        "char_count": F.col("_chars"), "must_include_coverage": F.round("_covered", 4), "forbidden_hits": F.col("_forbidden"), "ai_trace_count": F.size("_trace"), "ai_trace_matches": F.col("_trace"),
+        "repeated_ngram_ratio": F.round("_repetition", 4), "failure_types": F.col("_failures"), "hard_gate_pass": F.size(F.array_except("_failures", T.texts(SOFT))) == 0,
+        "repeated_runs": F.slice("_repeated", 1, 5),
     }
+    return judged.select(*keep, F.inline(F.array(F.struct(*[c.alias(k) for k, c in metrics.items()]))))
 
 
 def metric_score(passed: Column, failures: Column) -> Column:

@@ -64,7 +64,11 @@ def windows(text: Column, n: int) -> Column:
 
 def repeated_ngram_ratio(text: Column, n: int = 4, p: TextProfile = ZH) -> Column:
     """Sum of (count - 1) over repeated n-grams of the counted characters, over all; 0 if shorter than n."""
-    grams = windows(counted_only(text, p), n)
+    return distinct_share(windows(counted_only(text, p), n))
+
+
+def distinct_share(grams: Column) -> Column:
+    """Share of the elements that repeat an earlier one; 0 without elements."""
     return F.when(F.size(grams) == 0, 0.0).otherwise((F.size(grams) - F.size(F.array_distinct(grams))) / F.size(grams))
 
 
@@ -105,13 +109,22 @@ def runs(text: Column, p: TextProfile = ZH, least: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[{p.counted}]{{{least},}}"), F.lit(0))
 
 
+def run_windows(text: Column, p: TextProfile = ZH) -> Column:
+    """8-windows inside runs of 5 or more; a run of less than 8 whole; a run of 8 or more also brings its last 7 characters."""
+    return F.flatten(F.transform(runs(text, p, 5), lambda r: F.when(F.length(r) < 8, F.array(r)).otherwise(F.concat(windows(r, 8), F.array(F.right(r, F.lit(7)))))))
+
+
+def thrice(each: Column, order: Column) -> Column:
+    """The distinct elements that occur three times, in the order of their first; order: the elements sorted."""
+    # a value that occurs three times stands equal to the one two places on; nothing outside a lambda is evaluated in it
+    found = F.zip_with(order, F.slice(order, 3, F.greatest(F.size(order), F.lit(1))), lambda x, y: F.when(x == y, x))
+    return F.array_intersect(each, F.filter(found, lambda x: x.isNotNull()))
+
+
 def repeated_runs(text: Column, p: TextProfile = ZH) -> Column:
-    """8-windows inside runs of 5 or more that occur three times; a run of 8 or more also brings its last 7 characters."""
-    each = F.flatten(F.transform(runs(text, p, 5), lambda r: F.when(F.length(r) < 8, F.array(r)).otherwise(F.concat(windows(r, 8), F.array(F.right(r, F.lit(7)))))))
-    # sorted, a value that occurs three times stands equal to the one two places on; nothing outside a lambda is evaluated in it
-    order = F.array_sort(each)
-    thrice = F.zip_with(order, F.slice(order, 3, F.greatest(F.size(order), F.lit(1))), lambda x, y: F.when(x == y, x))
-    return F.array_intersect(each, F.filter(thrice, lambda x: x.isNotNull()))
+    """The windows of runs that occur three times."""
+    each = run_windows(text, p)
+    return thrice(each, F.sort_array(each))
 
 
 def source_terms(text: Column, p: TextProfile = ZH) -> Column:

@@ -17,17 +17,17 @@ SPACED = replace(P, counted=r"\p{L} ")
 
 
 def near_duplicates(spark, d):
-    docs = _docs(spark, d).join(grouped_split(spark, d).select("doc_id", "split"), "doc_id")
+    docs = rows.spread(_docs(spark, d)).join(grouped_split(spark, d).select("doc_id", "split"), "doc_id")
     return similar.near_duplicates(docs, "doc_id", "text", "split", 0.82, 12, P)
 
 
 def leakage_vs_benchmark(spark, d):
     bench = spark.read.parquet(f"{d}/benchmark.parquet").select("item_id", F.col("text").alias("item"))
-    return similar.leakage(bench, "item_id", "item", _docs(spark, d), "doc_id", "text", SPACED)
+    return similar.leakage(bench, "item_id", "item", rows.spread(_docs(spark, d)), "doc_id", "text", SPACED)
 
 
 def sanitize_lines(spark, d):
-    out = sanitize.sanitize(_docs(spark, d), "doc_id", "text", P, None)
+    out = sanitize.sanitize(rows.spread(_docs(spark, d)), "doc_id", "text", P, None)
     return out.select(F.col("id").alias("doc_id"), F.sha2("sanitized", 256).alias("sha256"), F.array_join(F.transform("events", lambda e: F.concat(e["line_number"].cast("string"), F.lit(":"), e["reason"])), ",").alias("events"))
 
 
@@ -36,7 +36,7 @@ def length_cap(spark, d):
 
 
 def _works(spark, d):
-    docs = _docs(spark, d, "doc_id", "source", "text").where("n_chars >= 0")
+    docs = _docs(spark, d, "doc_id", "source", "text")
     part = F.concat(F.lit("Chapter "), F.col("doc_id").cast("string"), F.lit("\n"), F.col("text"))
     return docs.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", part.alias("part")))), lambda x: x["part"]), "\n\n").alias("text"))
 
@@ -223,9 +223,18 @@ def revision_violations(spark, d):
 
 
 def readiness(spark, d):
-    docs = _docs(spark, d)
-    n = docs.agg(*[F.count("*").alias(c) for c in ("raw", "split_rows", "train", "eval_split", "cards", "sft")], F.lit(0).alias("card_issues"), F.lit(0).alias("leaks"), F.lit(5).alias("eval_cards"), F.lit(0).alias("dry_run_exit"))
-    return gates.readiness(n).select("decision", F.array_join("blockers", ",").alias("blockers"))
+    """Documents as raw texts, split rows and SFT outputs, benchmark items as cards of equal id; dry run as in the log of conversation 0."""
+    labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality")
+    bench = spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("item_id").alias("doc_id"))
+    split_rows = grouped_split(spark, d).select("doc_id", "split").join(labels, "doc_id", "left").join(bench.withColumn("carded", F.lit(True)), "doc_id", "left")
+    trainable = (F.col("split") == "train") & (F.col("quality") == 1)
+    n = split_rows.agg(
+        F.count("*").alias("raw"), F.count("*").alias("split_rows"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") != "train").alias("eval_split"), F.count_if("carded").alias("cards"),
+        F.count_if(F.col("carded") & ~F.coalesce(trainable, F.lit(False))).alias("card_issues"), F.count_if(F.col("carded") & trainable).alias("sft"), F.count_if(F.col("carded") & (F.col("split") != "train")).alias("eval_cards"), F.lit(1).alias("one"),
+    )
+    leaks = leakage_vs_benchmark(spark, d).where("item_id = doc_id").agg(F.count("*").alias("leaks"), F.lit(1).alias("one"))
+    exit_code = spark.read.parquet(f"{d}/conversations.parquet").where("conv_id = 0").agg(F.coalesce(F.min("turn"), F.lit(1)).alias("dry_run_exit"), F.lit(1).alias("one"))
+    return gates.readiness(n.join(leaks, "one").join(exit_code, "one").drop("one")).select("decision", F.array_join("blockers", ",").alias("blockers"), "raw", "train", "cards", "card_issues", "sft", "eval_cards", "leaks")
 
 
 # ---- the same in SQL
@@ -297,7 +306,13 @@ select expected, missing, blocked, arbitration, malformed, case when malformed >
     "reviewer_cross": "select item_id, unnest(['readthrough_structure', 'male_genre_payoff', 'platform_style_compliance']) as reviewer from benchmark",
     "issue_label_normalise": "select page_id, nullif(left(regexp_replace(regexp_replace(regexp_replace(lower(url), '[^a-z0-9_]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), 80), '') as label from pages",
     "revision_violations": f"with {REVISIONS} select 'prompt_sha256 must be a lowercase SHA-256' as message, count(*) as n from r union all select 'revision_status must be one of: accepted, accepted_with_minor_edits', count(*) from r where not ok having count(*) > 0 union all select 'model_output must be a non-empty string', count(*) from r where trim(model_output) = '' having count(*) > 0 union all select 'revised_output must be a non-empty string', count(*) from r where trim(revised_output) = '' having count(*) > 0",
-    "readiness": "select 'blocked_eval_missing' as decision, 'blocked_eval_missing' as blockers",
+    "readiness": f"""with {SPLIT}, h as (select item_id, unnest(list_distinct({WINDOWS.format(k=K, text='text')})) as w from benchmark), d as (select doc_id, {WINDOWS.format(k=K, text='text')} as g from documents where doc_id in (select item_id from benchmark)),
+e as (select doc_id, unnest(g) as w from d), x as (select s.split, l.quality = 1 and s.split = 'train' as ok, b.item_id is not null as carded from s left join labels l using (doc_id) left join benchmark b on b.item_id = s.doc_id),
+n as (select count(*) as raw, count(*) filter (where split = 'train') as train, count(*) filter (where split <> 'train') as eval_split, count(*) filter (where carded) as cards, count(*) filter (where carded and not coalesce(ok, false)) as card_issues,
+ count(*) filter (where carded and ok) as sft, count(*) filter (where carded and split <> 'train') as eval_cards, (select count(distinct doc_id) from h join e using (w) where doc_id = item_id) as leaks, (select coalesce(min(turn), 1) from conversations where conv_id = 0) as code from x),
+kk as (select *, list_filter([case when raw = 0 then 'blocked_missing_raw_text' end, case when raw = 0 or train = 0 or eval_split = 0 or (sft > 0 and sft < 20) then 'blocked_insufficient_chapters' end, case when cards = 0 or card_issues > 0 then 'blocked_missing_chapter_cards' end,
+ case when leaks > 0 then 'blocked_source_leakage' end, case when sft = 0 then 'blocked_sft_empty' end, case when eval_cards < 10 then 'blocked_eval_missing' end, case when code <> 0 then 'blocked_stage2_dry_run_failed' end], lambda v: v is not null) as hit from n)
+select coalesce(hit[1], 'ready_for_stage4_smoke_training') as decision, array_to_string(hit, ',') as blockers, raw, train, cards, card_issues, sft, eval_cards, leaks from kk""",
     "error_classifier": "with x as (select lower(concat_ws(' ', (" + str(list(LOGS)) + ")[conv_id % 8 + 1], text)) as log, case turn when 0 then 1 when 1 then 0 end as code from conversations) select case when code = 0 then 'none' when " + " when ".join(
         " or ".join(f"contains(log, '{m}')" for m in marks) + f" then '{kind}'"
         for kind, marks in (

@@ -18,8 +18,7 @@ def _docs(spark: SparkSession, d: str, *columns: str) -> DataFrame:
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """Documents as outputs, all with the same card."""
-    docs = _docs(spark, d, "doc_id", "lang", "source", "text")
-    return docs.select("doc_id", "lang", "source", *[c.alias(k) for k, c in R.score(F.col("text"), T.texts(MUST), T.texts(MUST_NOT), F.lit(""), F.lit(HOOK), P).items()])
+    return R.scored(rows.spread(_docs(spark, d, "doc_id", "lang", "source", "text")), ["doc_id", "lang", "source"], "text", T.texts(MUST), T.texts(MUST_NOT), F.lit(""), F.lit(HOOK), P)
 
 
 def char_counts(spark, d):
@@ -36,7 +35,7 @@ def dialogue_ratio(spark, d):
 
 
 def ngram_repetition(spark, d):
-    return _docs(spark, d).select("doc_id", F.round(T.repeated_ngram_ratio(F.col("text"), 4, P), 6).alias("ratio"))
+    return rows.spread(_docs(spark, d)).select("doc_id", F.round(T.repeated_ngram_ratio(F.col("text"), 4, P), 6).alias("ratio"))
 
 
 def sentence_stats(spark, d):
@@ -59,7 +58,7 @@ def punctuation_density(spark, d):
 
 
 def style_distribution(spark, d):
-    docs = _docs(spark, d, "lang", "text").select("lang", T.counted_chars(F.col("text"), P).alias("n"), T.dialogue_ratio(F.col("text"), P).alias("talk"))
+    docs = rows.spread(_docs(spark, d, "lang", "text")).select("lang", T.counted_chars(F.col("text"), P).alias("n"), T.dialogue_ratio(F.col("text"), P).alias("talk"))
     of = lambda c: [F.round(F.min(c), 4).cast("double").alias(f"{c}_min"), F.round(F.max(c), 4).cast("double").alias(f"{c}_max"), F.round(F.avg(c), 4).alias(f"{c}_avg"), F.round(F.expr(f"percentile({c}, 0.5)"), 4).alias(f"{c}_p50"), F.round(F.expr(f"percentile({c}, 0.9)"), 4).alias(f"{c}_p90")]
     return docs.groupBy("lang").agg(*of("n"), *of("talk"))
 
@@ -116,7 +115,7 @@ def quality_subset(spark, d):
 
 def semantic_repetition(spark, d):
     found = T.repeated_runs(F.col("text"), P)
-    return _docs(spark, d).select("doc_id", F.size(found).cast("long").alias("n_repeated"), F.array_join(F.array_sort(found), ",").alias("repeated"))
+    return rows.spread(_docs(spark, d)).select("doc_id", F.size(found).cast("long").alias("n_repeated"), F.array_join(F.array_sort(found), ",").alias("repeated"))
 
 
 def term_coverage(spark, d):

@@ -60,13 +60,15 @@ def test_repeated_runs_against_python(spark):
 @pytest.mark.parametrize("n,failures", [(1999, ["length_short"]), (2000, []), (2500, []), (2501, ["length_long"])])
 def test_length_boundaries(spark, n, failures):
     text = "".join(chr(0x4E00 + i) for i in range(n)) + "。"
-    got = one(spark, text, lambda t: R.score(t, T.texts(()), T.texts(()), F.lit(""), F.lit(""))["failure_types"])
+    rows = spark.createDataFrame([(text,)], "t string")
+    got = R.scored(rows, [], "t", T.texts(()), T.texts(()), F.lit(""), F.lit("")).first()["failure_types"]
     assert got == failures
 
 
 def test_padding(spark):
     text = "他提着剑走进雨夜的山门" * 223 + "。"
-    got = one(spark, text, lambda t: R.score(t, T.texts(()), T.texts(()), F.lit(""), F.lit(""))["failure_types"])
+    rows = spark.createDataFrame([(text,)], "t string")
+    got = R.scored(rows, [], "t", T.texts(()), T.texts(()), F.lit(""), F.lit("")).first()["failure_types"]
     assert got == ["repetition", "padding_to_length", "semantic_repetition"]
 
 
