@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .op1_substring_dedup import op1_substring_dedup
 from .op5_quality_rules import op5_quality_rules
@@ -29,4 +29,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_tree": op2_suffix_tree,
     "op3_language_crf": op3_language_crf,
 }
-SQL: dict[str, str] = {}
+
+
+# The columns of op2, op5, op7 and op10 that do not depend on a model, as queries of their own: SQL can state these.
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_suffix_tree(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 4).alias("target"))
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
+QUERIES |= {"lm_base_scores": lm_base_scores, "quality_counts": quality_counts, "mix_targets": mix_targets, "url_rules": url_rules}
+
+WORD = r"[^\x20\x09-\x0D]+"
+#: zlib's CRC-32 of doc_id as text, bit by bit.
+CRC = """xor(list_reduce(list_concat([4294967295::ubigint], [ascii(x)::ubigint for x in string_split(doc_id::varchar, '')]),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0::ubigint for i in range(8)]), lambda x, z: xor(x >> 1, 3988292384::ubigint * (x & 1)))), 4294967295::ubigint)"""
+SQL: dict[str, str] = {
+    "op1_substring_dedup": rf"""with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as words from documents),
+w as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos, len(words) as n, words from d),
+win as (select doc_id, pos, sha256(array_to_string(list_slice(words, pos, pos + 49), ' ')) as h from w where pos + 49 <= n),
+hit as (select doc_id, pos, min(doc_id) over (partition by h) < doc_id as again from win),
+mark as (select w.doc_id, w.pos, w.word, max(case when again then w.pos end) over (partition by w.doc_id order by w.pos rows between 49 preceding and current row) is not null as gone from w left join hit on hit.doc_id = w.doc_id and hit.pos = w.pos),
+k as (select doc_id, count(*) filter (where gone) as n_removed, string_agg(word, ' ' order by pos) filter (where not gone) as kept from mark group by doc_id)
+select d.doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)""",
+    "op6_suffix_array": r"""with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+b as (select doc_id, unnest(regexp_extract_all(h, '..')) as byte, generate_subscripts(regexp_extract_all(h, '..'), 1) as pos, length(h) // 2 as n from d),
+win as (select doc_id, pos, case when pos + 49 <= n then string_agg(byte, '') over (partition by doc_id order by pos rows between current row and 49 following) end as s, byte from b),
+hit as (select doc_id, pos, byte, s is not null and min(doc_id) over (partition by s) < doc_id as again from win),
+mark as (select doc_id, pos, byte, max(case when again then pos end) over (partition by doc_id order by pos rows between 49 preceding and current row) is not null as gone from hit),
+run as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by pos), false) as opens from mark),
+k as (select doc_id, count(*) as n_bytes, count(*) filter (where gone) as n_removed, count(*) filter (where opens) as n_spans, string_agg(byte, '' order by pos) filter (where not gone) as kept from run group by doc_id)
+select d.doc_id, coalesce(n_bytes, 0) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, ''))) as kept_sha256 from d left join k using (doc_id)""",
+    "lm_base_scores": rf"""with d as (select doc_id, {CRC} % 5 = 1 as held_out, list_concat(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), [null::varchar]) as tokens from documents),
+t as (select doc_id, held_out, coalesce(word, '') as token from (select doc_id, held_out, unnest(tokens) as word from d)),
+c as (select token, count(*) as c from t where not held_out group by token), s as (select coalesce(sum(c), 0)::bigint as n, count(*) as v from c)
+select t.doc_id, held_out, count(*) as n_tokens, count(c) as n_known, any_value(n) as train_tokens, round(sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 4) as base_score from t left join c using (token), s group by t.doc_id, held_out""",
+    "quality_counts": rf"""with d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{WORD}') as words from documents),
+w as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos, len(words) as n, words from d),
+win as (select doc_id, pos, array_to_string(list_slice(words, pos, pos + 7), ' ') as g from w where pos + 7 <= n),
+hit as (select doc_id, pos from (select *, count(*) over (partition by doc_id, g) as times from win) where times > 1),
+mark as (select w.doc_id, w.pos, max(hit.pos) over (partition by w.doc_id order by w.pos rows between 7 preceding and current row) is not null as again from w left join hit on hit.doc_id = w.doc_id and hit.pos = w.pos),
+r as (select doc_id, count(*) filter (where again) as n_repeat_words from mark group by doc_id),
+l as (select doc_id, unnest(string_split(text, chr(10))) as line from d), u as (select doc_id, count(*) - count(distinct line) as n_dup_lines from l where regexp_matches(line, '{WORD}') group by doc_id)
+select d.doc_id, len(words) as n_words, coalesce(list_sum([length(x) for x in words]), 0)::bigint as word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+coalesce(n_repeat_words, 0) as n_repeat_words, len(words) < 20 or 100 * coalesce(n_repeat_words, 0) > 30 * len(words) as base_failed from d left join r using (doc_id) left join u using (doc_id)""",
+    "mix_targets": rf"""with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) as size from documents),
+s as (select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight from d group by source),
+o as (select *, 3 * source_size / weight as full_at, sum(source_size) over () as total, sum(3 * source_size) over w - 3 * source_size as above, sum(weight) over () - sum(weight) over w + weight as open from s window w as (order by 3 * source_size / weight, source nulls last rows unbounded preceding)),
+level as (select min_by((total - above) / open, full_at) as height from o where full_at >= (total - above) / open)
+select doc_id, size, source_size, round(least(3 * source_size, weight * height), 4) as target from d join s on d.source is not distinct from s.source, level""",
+    "url_rules": r"""with p as (select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') as path from p),
+r as (select * from (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) as r(verdict, h, p)),
+m as (select page_id, arg_max(r.h || r.p, length(r.h || r.p)) as rule, arg_max(verdict, length(r.h || r.p)) as rule_verdict from h join r on (host = r.h or ends_with(host, '.' || r.h)) and starts_with(path, r.p) group by page_id)
+select h.page_id, host, path, rule, rule_verdict from h left join m using (page_id)""",
+}
