@@ -230,7 +230,7 @@ def forest(heads: DataFrame, threshold: float, recall: float) -> DataFrame:
     Buckets of several trees with the same nodes are kept once."""
     spark = heads.sparkSession
     spread = heads.select("node", F.posexplode("labels").alias("tree", "label"))
-    ordered = spread.repartitionByRange(parts(spark, 0), "tree", "label", "node").sortWithinPartitions("tree", "label")
+    ordered = spread.repartitionByRange(parts(spark, 24 * TREES * heads.count()), "tree", "label", "node").sortWithinPartitions("tree", "label")
     paths = saved(ordered.mapInArrow(_neighbours, "node long, tree int, label long, before int, near int"), "paths")
     counts = {(r.tree, r.before): r["count"] for r in paths.groupBy("tree", "before").count().collect()}  # a row a tree and length
     chosen = depths(counts, threshold, recall)
@@ -252,7 +252,8 @@ def clusters(heads: DataFrame, threshold: float, recall: float, matches: float)
         .join(heads, "node")
     )
     keys = ["tree", "prefix", "one", "two"]
-    edges = units.repartition(parts(spark, 0), *keys).sortWithinPartitions(*keys).mapInArrow(_candidates(threshold, matches), "a long, b long")
+    sent = met.agg(F.sum("blocks")).first()[0] or 0
+    edges = units.repartition(parts(spark, sent * (8 * TREES + 48)), *keys).sortWithinPartitions(*keys).mapInArrow(_candidates(threshold, matches), "a long, b long")
     return components(edges)
 
 
@@ -278,14 +279,16 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     near_bands = bands.select("cluster", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band"), F.col("band").alias("other_band"), "blocks")
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
     placed = placed.join(bands, ["cluster", "band"]).withColumn("own", F.struct(F.col("band"), own.cast("int").alias("block"))).drop("blocks")
-    placed = saved(placed.select("node", "doc_id", "text_key", "cluster", "band", (F.col("band") * F.lit(1 << 32) + F.col("own.block")).cast("long").alias("own")), "placed")
+    placed = saved(placed.select("node", "doc_id", "text_key", "n", "cluster", "band", (F.col("band") * F.lit(1 << 32) + F.col("own.block")).cast("long").alias("own")), "placed")
+    fan = near_bands.groupBy("cluster", "band").agg(F.sum("blocks").alias("times"))
+    sent = placed.join(fan, ["cluster", "band"]).agg(F.sum(F.col("times") * (F.col("n") * 8 + 56))).first()[0] or 0
     listed = spark.sparkContext.broadcast(Listed(placed))
     sets = docs.withColumn("h", row_hash()).mapInArrow(_sets(listed), "doc_id long, text_key long, shingles binary").join(placed, ["doc_id", "text_key"])
     other = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: (F.col("other_band") * F.lit(1 << 32) + j).cast("long")))
     couples = saved(near_bands.withColumn("other", other).select("cluster", "band", "other"), "couples").groupBy("cluster", "band").agg(F.collect_list("other").alias("others"))
     units = sets.join(couples, ["cluster", "band"]).select("node", "shingles", "cluster", "own", F.explode("others").alias("other")).withColumn("one", F.least("own", "other")).withColumn("two", F.greatest("own", "other"))
     keys = ["cluster", "one", "two"]
-    links = units.select("node", "shingles", "own", *keys).repartition(parts(spark, 0), *keys).sortWithinPartitions(*keys)
+    links = units.select("node", "shingles", "own", *keys).repartition(parts(spark, sent), *keys).sortWithinPartitions(*keys)
     links = saved(links.mapInArrow(_verify(threshold), "node long, n_links long, low long"), "links")
     near = components(links.select(F.col("node").alias("a"), F.col("low").alias("b"))).select(F.col("id").alias("node"), "component")
     degree = links.groupBy("node").agg(F.sum("n_links").alias("n_links"))
