@@ -155,7 +155,7 @@ def test_op6_over_many_small_buckets_and_chunks(spark, monkeypatch):
     df = spark.createDataFrame(rows(texts), SCHEMA).repartition(5)
     for part_bytes in (600, 5000):
         assert {r.doc_id: r.n_removed for r in suffix_dedup(df, part_bytes=part_bytes).collect()} == want
-    assert sum(want.values()) > 1000
+    assert sum(want.values()) > 500
 
 
 def test_multikey_quicksort_sorts():
@@ -649,4 +649,4 @@ def test_op10_model_learns_a_separable_table(spark):
 def test_registered():
     from loomtext.llm import queries
 
-    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES if k.startswith("op")} == set(range(1, 14))

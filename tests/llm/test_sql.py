@@ -15,7 +15,7 @@ def normal(rows, columns):
 @pytest.fixture(scope="module")
 def duck(sf):
     c = duckdb.connect()
-    for t in ("documents", "labels", "pages"):
+    for t in ("documents", "labels", "pages", "embeddings", "benchmark"):
         c.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     return c
 
