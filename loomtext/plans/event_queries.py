@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators.split import seeded_split as draw
 from ..sources.jsonl import canonical_hash as canonical
+from ..sources.store import scratch
 from ..streaming import events as E
 from .text_queries import _docs
 
@@ -30,8 +29,7 @@ def event_sessions(spark, d):
 
 def events_stream(spark, d):
     """The daily counts as a stream: all that is there is processed once, and only days that the watermark has closed are written."""
-    conf = spark.sparkContext.getConf()
-    base = f"{(conf.get('spark.checkpoint.dir', None) or 'file:///tmp/checkpoints/loomtext').rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     E.drain(E.windowed_counts(E.read_events(spark, f"{d}/events.parque*", EVENTS)), f"{base}/out", f"{base}/state")
     out = spark.read.parquet(f"{base}/out")
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
