@@ -35,14 +35,18 @@ def length_cap(spark, d):
     return _docs(spark, d).select("doc_id", F.sha2(R.cap_counted(F.col("text"), 500, P), 256).alias("sha256"))
 
 
-def _works(spark, d):
-    docs = _docs(spark, d, "doc_id", "source", "text")
-    part = F.concat(F.lit("Chapter "), F.col("doc_id").cast("string"), F.lit("\n"), F.col("text"))
-    return docs.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", part.alias("part")))), lambda x: x["part"]), "\n\n").alias("text"))
+def _parts(spark, d):
+    """Works of a source and language, a document a part. Every third document begins a chapter (French works have
+    none); some end in a note, which runs on into the next document, some in its marker alone."""
+    docs = _docs(spark, d, "doc_id", "source", "lang", "text")
+    n = F.col("doc_id")
+    head = F.when((n % 3 == 0) & (F.col("lang") != "fr"), F.concat(F.lit("Chapter "), n.cast("string"), F.lit("\n"))).otherwise("")
+    tail = F.when(n % 7 == 2, "\nAuthor's note: thanks").when(n % 11 == 4, "\nAuthor's note").when(n % 5 == 1, "\n\n----\n").otherwise("")
+    return docs.select(F.concat("source", F.lit("-"), "lang").alias("work"), "doc_id", F.concat(head, "text", tail).alias("text"))
 
 
 def chapter_split(spark, d):
-    out = chapters.split_chapters(_works(spark, d), "source", "text", P)
+    out = chapters.split_chapters(_parts(spark, d), "work", "text", P, part="doc_id")
     return out.select("id", "chapter_title", F.col("char_count").cast("long").alias("char_count"), F.sha2("text", 256).alias("sha256"))
 
 
@@ -280,8 +284,15 @@ select doc_id, sha256(coalesce(body, '')) as sha256, coalesce(events, '') as eve
     "length_cap": rf"""with a as (select doc_id, text, regexp_extract_all(text, '(?s)[^\p{{L}}]*\p{{L}}') as pieces from documents), b as (select *, array_to_string(list_slice(pieces, 1, 500), '') as head from a),
 c as (select *, regexp_replace(head || regexp_extract(substr(text, length(head) + 1), '(?s)^[^\p{{L}}]*'), '\s+$', '') as cut from b), e as (select *, regexp_extract(cut, '(?s)^(.*[.!?])', 1) as sentence from c)
 select doc_id, sha256({STRIP.format(f"case when len(pieces) <= 500 then text when sentence <> '' and {COUNTED.format('sentence')} >= {P.cap_floor} then sentence else cut end")}) as sha256 from e""",
-    "chapter_split": f"""with c as (select source, doc_id, row_number() over (partition by source order by doc_id) as n, {STRIP.format("regexp_replace(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '[ \\t]+\\n', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")} as text from documents)
-select source || '_chapter_' || lpad(cast(n as varchar), 4, '0') as id, 'Chapter ' || doc_id as chapter_title, length({LETTERS}) as char_count, sha256(text) as sha256 from c""",
+    "chapter_split": f"""with d as (select source || '-' || lang as work, doc_id, case when doc_id % 3 = 0 and lang <> 'fr' then 'Chapter ' || doc_id || chr(10) else '' end || text || case when doc_id % 7 = 2 then chr(10) || 'Author''s note: thanks' when doc_id % 11 = 4 then chr(10) || 'Author''s note' when doc_id % 5 = 1 then chr(10) || chr(10) || '----' || chr(10) else '' end as text from documents),
+l as (select work, doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from d),
+o as (select *, row_number() over (partition by work order by doc_id, pos) as i, case when regexp_matches(line, '^\\s*$') then 'B' when regexp_matches(line, '^[ \\t]*Chapter [0-9]+') then 'H' when regexp_matches(line, '^[ \\t]*Author''s note\\s*$') then 'M' when regexp_matches(line, '^[ \\t]*Author''s note') then 'N' else 'T' end as kind from l),
+s as (select work, list_reduce(list_concat(['0'], list(kind order by i)), lambda a, c: a || case right(a, 1) when '0' then case c when 'N' then '1' when 'M' then '2' else '0' end when '1' then case when c in ('B', 'H') then '0' else '1' end else case c when 'B' then '2' else '1' end end) as states from o group by work),
+k as (select work, i, substr(states, i, 1) as state, case when kind in ('M', 'N') or regexp_matches(line, '^\\s*[-=*_]{{3,}}\\s*$') then '' else line end as line, kind from o join s using (work) where substr(states, i, 1) = '0' or (substr(states, i, 1) = '1' and kind in ('B', 'H'))),
+c as (select *, count(*) filter (where kind = 'H') over (partition by work order by i) as section from k),
+t as (select work, section, max(case when kind = 'H' then {STRIP.format('line')} end) as title, {STRIP.format("regexp_replace(regexp_replace(coalesce(string_agg(line, chr(10) order by i) filter (where kind <> 'H'), ''), '[ \\t]+\\n', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")} as text from c group by work, section),
+z as (select *, max(section) over (partition by work) as sections, max(case when section = 0 and text <> '' then 1 else 0 end) over (partition by work) as preface from t)
+select work || '_chapter_' || lpad((case when section > 0 then section + preface else 1 end)::varchar, 4, '0') as id, case when section > 0 then title when sections = 0 then 'Untitled' else 'Preface' end as chapter_title, length({LETTERS}) as char_count, sha256(text) as sha256 from z where section > 0 or text <> '' or sections = 0""",
     "vote_aggregate": f"with {REVIEWS} select id, review_count, pass_votes, fail_votes, blocker_votes, issues, reviewers, n_reviewers = 3 and pass_votes >= 2 as agent_gate_pass, blocker_votes > 0 as requires_human_arbitration from votes",
     "issue_counts": f"with {REVIEWS} select issue, count(*) as n from firsts where issue is not null group by issue",
     "arbitration_decision": f"""with {REVIEWS}, x as (select count(*) as expected, count(*) filter (where n_reviewers < 3) as missing, count(*) filter (where n_reviewers = 3 and pass_votes < 2) as blocked, count(*) filter (where blocker_votes > 0) as arbitration, coalesce(bool_or(pass_votes = 2), false) as narrow from votes),

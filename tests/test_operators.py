@@ -233,3 +233,40 @@ def test_report(spark):
     text = reports.report("Run", spark.createDataFrame([(2.0, 0.126)], "n double, r double"), rows=spark.createDataFrame([], "a int"), long=spark.range(1300))
     assert "(300 more rows)" in text and "| 999 |" in text
     assert "- n: 2\n- r: 0.13" in text and "(none)" in text
+
+
+def slow_chapters(text):
+    """The definition, on a whole text."""
+    import re
+
+    heading = re.compile(r"^[ \t　]*(第\s*[零一二三四五六七八九十百千万0-9]+\s*[章节卷集部].*)$", re.M)
+    clean = lambda t: re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", t.replace("\r\n", "\n").replace("\r", "\n"))).strip()
+    text = re.sub(r"^[ \t　]*(?:作者有话说|作者的话|题外话)\s*[:：]?.*(?:\n(?!\s*$)(?![ \t　]*第\s*[零一二三四五六七八九十百千万0-9]+\s*[章节卷集部]).*)*", "", text, flags=re.M)
+    text = clean(re.sub(r"^\s*[-=*_]{3,}\s*$", "", text, flags=re.M))
+    found = list(heading.finditer(text))
+    if not found:
+        return [("未命名章节", text)]
+    out = [("前置正文", clean(text[: found[0].start()]))] if clean(text[: found[0].start()]) else []
+    return out + [(m.group(1).strip(), clean(text[m.end() : n.start() if n else len(text)])) for m, n in zip(found, [*found[1:], None])]
+
+
+def test_chapters_over_many_parts(spark):
+    """Works whose chapters and notes run over many rows, in ranges that cut works anywhere."""
+    rng = random.Random(3)
+    lines = ["第一章 起", "  第2节 承", "作者的话", "作者有话说：谢", "题外话 多", "", "  ", "----", "甲乙丙", "丁戊 ", "己\r庚", "他说第三章好", "＊"]
+    works = {f"w{w}": ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 5))) for _ in range(size)] for w, size in enumerate([1, 1, 2, 40, 150, 3, 60])}
+    works["w9"] = ["", "作者的话", "", "\n", "还在", "仍然", "", "正文"]
+    rows = [(w, i, t) for w, parts in works.items() for i, t in enumerate(parts)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([*rows, (None, 1, "x")], "w string, i int, t string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        got = chapters.split_chapters(df, "w", "t", part="i").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for w, parts in works.items():
+        own = sorted((r.id, r.chapter_title, r.text) for r in got if r.work_id == w)
+        assert own == [(f"{w}_chapter_{n:04d}", title, text) for n, (title, text) in enumerate(slow_chapters("\n".join(parts)), 1)], w
+    assert {r.work_id for r in got} == set(works)
