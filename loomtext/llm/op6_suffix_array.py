@@ -68,14 +68,20 @@ def _runs(anchor: np.ndarray, doc: np.ndarray, ok: np.ndarray, most: int) -> tup
     return np.repeat(start, times) + k * most, np.minimum(most, np.repeat(count, times) - k * most)
 
 
+def _pieced(values: np.ndarray, n: int, of) -> np.ndarray:
+    """of(values, n), which has a number for every n consecutive values, piece by piece: what it holds besides stays small."""
+    step = 1 << 18
+    return np.concatenate([np.zeros(0, U)] + [of(values[lo : lo + step + n - 1], n) for lo in range(0, len(values) - n + 1, step)])
+
+
 class _Anchors:
     """The anchored runs of strings of one chunk, and the questions about their anchors."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray, length: int, lead: int):
         self.data, self.at, self.length, self.most = data, at, length, length - lead + 1
-        self.grams = byte_grams(data, lead) if len(data) >= length else np.zeros(0, U)
-        anchor = slide_min(self.grams, self.most)
-        doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        self.grams = _pieced(data, lead, byte_grams) if len(data) >= length else np.zeros(0, U)
+        anchor = _pieced(self.grams, self.most, slide_min)
+        doc = np.repeat(np.arange(len(at) - 1, dtype=np.int32), np.diff(at))
         if len(anchor):
             self.start, self.count = _runs(anchor, doc, doc[: len(anchor)] == doc[length - 1 :], self.most)
         else:
@@ -280,8 +286,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
                     continue
                 counts = np.unique(part, return_counts=True)[1].tolist()
                 yes = np.concatenate([np.unpackbits(np.frombuffer(x["bits"], np.uint8))[:n] for x, n in zip(said[i].as_py(), counts)]) > 0
-                for lo in range(0, len(question), 100_000):
-                    hit = np.flatnonzero(yes[question[lo : lo + 100_000]]) + lo
+                for lo in range(0, len(question), 20_000):
+                    hit = np.flatnonzero(yes[question[lo : lo + 20_000]]) + lo
                     if len(hit):
                         key, right, left, doc, start, count = anchors.rows(hit)
                         held.append((key, right, left, ids[doc], np.full(len(doc), chunk), doc.astype(np.int32), start, count))
