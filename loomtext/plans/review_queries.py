@@ -21,6 +21,12 @@ def near_duplicates(spark, d):
     return similar.near_duplicates(docs, "doc_id", "text", "split", 0.82, 12, P)
 
 
+def near_duplicate_links(spark, d):
+    """All documents, every fourth of them set aside."""
+    docs = rows.spread(_docs(spark, d)).withColumn("split", F.when(F.col("doc_id") % 4 == 3, "sealed").otherwise("train"))
+    return similar.near_duplicate_links(docs, "doc_id", "text", "split", 0.82, 12, P).withColumnRenamed("id", "doc_id")
+
+
 def leakage_vs_benchmark(spark, d):
     bench = spark.read.parquet(f"{d}/benchmark.parquet").select("item_id", F.col("text").alias("item"))
     return similar.leakage(bench, "item_id", "item", rows.spread(_docs(spark, d)), "doc_id", "text", SPACED)
@@ -269,6 +275,12 @@ SQL = {
     "near_duplicates": f"""with {SPLIT}, a as (select doc_id, {LETTERS} as own from documents), w as (select doc_id, list_distinct(case when own = '' then [] when length(own) <= 12 then [own] else [substr(own, i, 12) for i in range(1, length(own) - 10)] end) as g from a),
 e as (select doc_id, len(g) as n, unnest(g) as x from w), o as (select l.doc_id as left_id, r.doc_id as right_id, l.n as ln, r.n as rn, count(*) as common from e l join e r on l.x = r.x and l.doc_id < r.doc_id and least(l.n, r.n) >= 0.8 * greatest(l.n, r.n) group by all)
 select left_id, right_id, round(common / (ln + rn - common), 4) as overlap from o join s a on a.doc_id = left_id join s b on b.doc_id = right_id where a.split <> b.split and round(common / (ln + rn - common), 4) >= 0.82""",
+    "near_duplicate_links": f"""with a as (select doc_id, {LETTERS} as own from documents), w as (select doc_id, doc_id % 4 = 3 as sealed, list_sort(list_distinct(case when length(own) <= 12 then [own] else [substr(own, i, 12) for i in range(1, length(own) - 10)] end)) as g from a where own <> ''),
+k as (select min(doc_id) as class_id, g, count(*) as rows from w group by g), m as (select w.doc_id, w.sealed, k.class_id, rows from w join k on k.g = w.g),
+e as (select class_id, len(g) as n, unnest(g) as x from k), o as (select l.class_id as a, r.class_id as b, l.n as ln, r.n as rn, count(*) as common from e l join e r on l.x = r.x and l.class_id < r.class_id and least(l.n, r.n) >= 0.8 * greatest(l.n, r.n) group by all),
+p as (select a, b from o where round(common / (ln + rn - common), 4) >= 0.82), q as (select a, b from p union all select b, a from p union all select class_id, class_id from k),
+t as (select q.a as class_id, count(*) as in_reach, count(*) filter (where m.sealed) as sealed_in_reach, count(distinct q.b) - 1 as n_links from q join m on m.class_id = q.b group by q.a)
+select doc_id, class_id, rows - 1 as n_copies, n_links, case when sealed then in_reach - sealed_in_reach else sealed_in_reach end as n_across from m join t using (class_id)""",
     "leakage_vs_benchmark": f"""with h as (select item_id, unnest(list_distinct({WINDOWS.format(k=K, text='text')})) as w from benchmark), d as (select doc_id, {WINDOWS.format(k=K, text='text')} as g from documents),
 e as (select doc_id, unnest(g) as w, generate_subscripts(g, 1) as pos from d) select item_id, doc_id, arg_min(w, pos) as fragment from h join e using (w) group by item_id, doc_id""",
     "sanitize_lines": f"""with l as (select doc_id, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents),

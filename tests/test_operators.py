@@ -270,3 +270,42 @@ def test_chapters_over_many_parts(spark):
         own = sorted((r.id, r.chapter_title, r.text) for r in got if r.work_id == w)
         assert own == [(f"{w}_chapter_{n:04d}", title, text) for n, (title, text) in enumerate(slow_chapters("\n".join(parts)), 1)], w
     assert {r.work_id for r in got} == set(works)
+
+
+def test_similarity_join_over_parted_shingles_and_blocks(spark, monkeypatch):
+    """Groups of near copies that share frequent shingles, with units far smaller than the groups."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + i) for i in range(60)]
+    base = ["".join(rng.choice(letters) for _ in range(n)) for n in (60, 90, 200)]
+    texts = []
+    for b in base:
+        for _ in range(25):
+            t = list(b)
+            for _ in range(rng.randrange(4)):
+                t[rng.randrange(len(t))] = rng.choice(letters)
+            texts.append("".join(t[: len(t) - rng.randrange(8)]))
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 30))) for _ in range(30)] + [texts[0], texts[0], "", None, "短", "短", base[0] + base[1], base[0][:30] + base[2]]
+    sets = {}
+    for i, t in enumerate(texts):
+        own = "".join(c for c in t or "" if "一" <= c <= "鿿")
+        if own:
+            sets[i] = {own} if len(own) <= 5 else {own[j : j + 5] for j in range(len(own) - 4)}
+    want, ids = {}, sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            overlap = (20_000 * len(sets[a] & sets[b]) // len(sets[a] | sets[b]) + 1) // 2 / 10_000  # half up
+            if overlap >= 0.7 and a % 3 != b % 3:
+                want[a, b] = overlap
+    df = spark.createDataFrame([(i, t, str(i % 3)) for i, t in enumerate(texts)], "id long, t string, s string").repartition(4)
+    assert len(want) > 200
+    for block, size in ((3, 2), (1024, 128)):
+        monkeypatch.setattr(similar, "BLOCK", block)
+        monkeypatch.setattr(similar, "SETS", size)
+        got = {(r.left_id, r.right_id): r.overlap for r in similar.near_duplicates(df, "id", "t", "s", 0.7, 5, ZH).collect()}
+        assert got == want
+    links = {r.id: (r.class_id, r.n_copies, r.n_across) for r in similar.near_duplicate_links(df, "id", "t", "s", 0.7, 5, ZH).collect()}
+    assert set(links) == set(ids)
+    for a in ids:
+        same = [b for b in ids if sets[b] == sets[a]]
+        assert links[a] == (min(same), len(same) - 1, sum(a in pair for pair in want))
+    assert similar.near_duplicates(df.where("false"), "id", "t", "s").collect() == []
