@@ -134,20 +134,25 @@ def suggestion(kind: Column) -> Column:
     return F.create_map(*[F.lit(x) for pair in SUGGESTIONS.items() for x in pair])[kind]
 
 
+# Phases of a training log and their markers, in order.
+PHASES = (
+    ("load_tokenizer", ("loading tokenizer", "load tokenizer", "autotokenizer")),
+    ("load_base_model_4bit", ("load 4-bit base model", "load 4bit base model", "4-bit base model")),
+    ("prepare_lora", ("prepare lora", "preparing lora", "inject lora", "lora adapter", "peft model")),
+    ("tokenize_dataset", ("tokenize dataset", "tokenizing dataset")),
+    ("first_forward", ("first forward", "first_forward")),
+    ("first_backward", ("first backward", "first_backward")),
+    ("first_optimizer_step", ("first optimizer step", "first_optimizer_step")),
+    ("save_adapter", ("save adapter", "saving adapter", "save_pretrained")),
+)
+
+
+def log_phases(line: Column) -> Column:
+    """All phases whose markers a log line holds, in order."""
+    low = F.lower(line)
+    return F.filter(F.array(*[F.when(F.size(T.present(low, marks)) > 0, F.lit(name)) for name, marks in PHASES]), lambda x: x.isNotNull())
+
+
 def log_phase(line: Column) -> Column:
-    """The training phase that a log line opens, or null."""
-    # Phases and their markers, in order.
-    phases = (
-        ("load_tokenizer", ("loading tokenizer", "load tokenizer", "autotokenizer")),
-        ("load_base_model_4bit", ("load 4-bit base model", "load 4bit base model", "4-bit base model")),
-        ("prepare_lora", ("prepare lora", "preparing lora", "inject lora", "lora adapter", "peft model")),
-        ("tokenize_dataset", ("tokenize dataset", "tokenizing dataset")),
-        ("first_forward", ("first forward", "first_forward")),
-        ("first_backward", ("first backward", "first_backward")),
-        ("first_optimizer_step", ("first optimizer step", "first_optimizer_step")),
-        ("save_adapter", ("save adapter", "saving adapter", "save_pretrained")),
-    )
-    out = F.lit(None).cast("string")
-    for name, marks in reversed(phases):
-        out = F.when(F.size(T.present(F.lower(line), marks)) > 0, name).otherwise(out)
-    return out
+    """The first phase that a log line opens, or null."""
+    return F.get(log_phases(line), F.lit(0))

@@ -141,9 +141,11 @@ def term_coverage(source: Column, text: Column, p: TextProfile = ZH) -> Column:
 
 
 def leak_fragment(source: Column, rendered: Column, k: int = 12, p: TextProfile = ZH) -> Column:
-    """The first k-window of a run of source that occurs in rendered, or null."""
-    all_windows = F.flatten(F.transform(runs(source, p, k), lambda r: windows(r, k)))
-    return F.get(F.filter(all_windows, lambda w: F.contains(rendered, w)), F.lit(0))
+    """The first k-window of a run of source that occurs in rendered, or null.
+
+    A window holds counted characters only, so where it occurs it is a window of a run there, too."""
+    all_windows = lambda text: F.flatten(F.transform(runs(text, p, k), lambda r: windows(r, k)))
+    return F.get(F.array_intersect(all_windows(source), all_windows(rendered)), F.lit(0))
 
 
 def preview(text: Column) -> Column:

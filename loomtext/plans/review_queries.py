@@ -193,16 +193,6 @@ def error_classifier(spark, d):
 LOGS = ("CUDA out of memory", "Permission denied: adapter", "permission denied", "process killed", "loading tokenizer", "unknown error", "JSONDecodeError", "fine")
 
 
-def phase_first_seen(spark, d):
-    c = spark.read.parquet(f"{d}/conversations.parquet")
-    line = F.element_at(F.array(*[F.lit(x) for x in LINES]), ((F.col("conv_id") + F.col("turn")) % len(LINES) + 1).cast("int"))
-    got = c.withColumn("phase", R.log_phase(line)).where("phase is not null")
-    return got.groupBy("conv_id", "phase").agg(F.min("turn").alias("turn"))
-
-
-LINES = ("Loading tokenizer", "peft model", "nothing", "tokenizing dataset", "first_forward", "Save adapter")
-
-
 def event_tail(spark, d):
     return rows.tail(spark.read.parquet(f"{d}/events.parquet").select("event_id", "event_type"), "event_id", 25)
 
@@ -343,7 +333,6 @@ select coalesce(hit[1], 'ready_for_stage4_smoke_training') as decision, array_to
             ("dataset_error", ("dataset", "filenotfounderror", "jsondecodeerror", "data_sft", "data/", "data\\", ".jsonl", "input/", "input\\")),
         )
     ) + " when contains(log, 'permission denied') and (contains(log, 'adapter') or contains(log, 'output_dir') or contains(log, 'save_pretrained')) then 'adapter_save_error' when contains(log, 'permission denied') and code <> 0 then 'process_killed' when contains(log, 'permission denied') then 'none' when contains(log, 'killed') or contains(log, 'terminated') then 'process_killed' when contains(log, 'device lost') or contains(log, 'cuda driver') or contains(log, 'unknown error') then 'driver_reset' when contains(log, 'adapter_model') or contains(log, 'save_pretrained') then 'adapter_save_error' when code <> 0 then 'process_killed' else 'none' end as kind, count(*) as n from x group by kind",
-    "phase_first_seen": "with x as (select conv_id, turn, (['load_tokenizer', 'prepare_lora', null, 'tokenize_dataset', 'first_forward', 'save_adapter'])[(conv_id + turn) % 6 + 1] as phase from conversations) select conv_id, phase, min(turn) as turn from x where phase is not null group by conv_id, phase",
 }
 
 
