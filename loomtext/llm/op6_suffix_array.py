@@ -17,7 +17,7 @@ document of all takes them. So a lead that a third of all rows share is split ov
 
 Bounds: a bucket has the rows of PART bytes of text and an owner of hashes those of four times as much; there are
 MOST_PARTS buckets at most, so up to 1 TB of text, beyond which they grow with it (MOST_PARTS goes with the memory of
-an executor); the splitters are broadcast, 76 bytes each, 5 MB at most.
+an executor); the splitters are broadcast, 76 bytes each, 10 MB at most.
 
 Defined cases: null is an empty text; a text under 50 bytes has no string; exact copies lose all their bytes if
 they have 50; rows that repeat a doc_id are judged each on its own text, and neither removes from the other; a null
@@ -37,7 +37,7 @@ from ._chunks import chunked, opened, parcels
 from ._common import as_batch, copies_of, documents, groups, packed, parts, saved, text_bytes, unpacked, without
 from ._words import U, byte_grams, mix, slide_min
 
-LENGTH, LEAD, PART, MOST_PARTS, SAMPLES, FLUSH = 50, 24, 16 << 20, 1 << 16, 64, 400_000
+LENGTH, LEAD, PART, MOST_PARTS, SAMPLES, FLUSH = 50, 24, 8 << 20, 1 << 17, 64, 400_000
 #: In place of a count of rows: spans that a task has settled itself, dealt evenly over the buckets.
 SETTLED = -1
 ASK = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
@@ -263,9 +263,12 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
 
         def flush() -> Iterator[pa.RecordBatch]:
             key, right, left, doc, chunk, row, start, count = (np.concatenate([x[i] for x in held]) for i in range(8))
-            text = np.concatenate([key, right[:, None], left[:, None]], 1)
-            order = np.argsort(as_strings(text), kind="stable")
-            first = np.concatenate([[True], (text[order][1:] != text[order][:-1]).any(1)])
+            held.clear()
+            text = as_strings(np.concatenate([key, right[:, None], left[:, None]], 1))
+            order = np.argsort(text, kind="stable")
+            text = text[order]
+            first = np.concatenate([[True], text[1:] != text[:-1]])
+            del text
             group = np.cumsum(first) - 1
             least = np.minimum.reduceat(doc[order], np.flatnonzero(first))[group]
             done = doc[order] > least
@@ -294,7 +297,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
                         size_held += len(doc)
                 if size_held > FLUSH:
                     yield from flush()
-                    held, size_held = [], 0
+                    size_held = 0
         if held:
             yield from flush()
 
@@ -309,6 +312,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
             if not got:
                 continue
             key, right, left, doc, chunk, row, start = (np.concatenate(x) for x in zip(*got))
+            got.clear()
             bound = splitters.value
             low, high = bound[part - 1] if part else None, bound[part] if part < len(bound) else None
             yield from _bucket(key, right, left, doc, chunk, row, start, length, low, high)
