@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.rules import PHASES
-from ..operators import inspect
+from ..operators import decisions, inspect
 from ..operators.digest import table_digest
 from ..streaming import events as E
 from .formal_queries import SPACED
-from .text_queries import STRIP, _docs
+from . import review_queries as reviews, text_queries as texts
+from .text_queries import STRIP, _docs, gate_summary_by_lang
 
 #: In every 31st document, by remainder: how its card differs from a good one. A field that is null is left out.
 FIELDS = {
@@ -74,6 +75,35 @@ def phase_first_seen(spark, d):
     return out.select("run", "phase", F.col("order").alias("turn"), F.sha2("line", 256).alias("line_sha256"))
 
 
+def scoring_inputs(spark, d):
+    """Outputs whose text stands in one of three fields; some repeat an id, some name none of the cards. A row an output
+    that is scored, and a row a violation."""
+    n = F.col("doc_id")
+    ident = F.when(n % 17 == 1, n - 1).when(n % 19 == 2, -n).otherwise(n)
+    rows = _docs(spark, d).select((n + 1).alias("row_idx"), ident.alias("id"), F.when(n % 3 == 0, F.col("text")).alias("raw_output"), F.when(n % 3 <= 1, F.concat(F.lit("o"), "text")).alias("output"), F.when(n % 9 != 2, F.concat(F.lit("t"), "text")).alias("text"))
+    good, bad = decisions.scoring_inputs(rows, _docs(spark, d, "doc_id").withColumnRenamed("doc_id", "id"))
+    return good.select("row_idx", "id", F.sha2("text", 256).alias("sha256"), F.lit(None).cast("string").alias("message")).unionByName(bad.select("row_idx", F.col("entity_id").alias("id"), F.lit(None).cast("string").alias("sha256"), "message"))
+
+
+def combined_decision(spark, d):
+    """The decision of the rules over all outputs, that of the reviewers, and what follows from both."""
+    one = lambda df: df.withColumn("one", F.lit(1))
+    both = one(reviews.quality_budget(spark, d).select(F.col("decision").alias("rules"))).join(one(reviews.arbitration_decision(spark, d).select(F.col("decision").alias("agents"))), "one")
+    cases = both.select(F.explode(F.array(F.struct("rules", "agents"), F.struct(F.lit(decisions.READY).alias("rules"), "agents"), F.struct(F.lit(decisions.READY).alias("rules"), F.lit(None).cast("string").alias("agents")))).alias("x")).select("x.*")
+    return cases.withColumn("decision", decisions.combined_decision(F.col("rules"), F.col("agents"))).withColumn("recommendation", decisions.recommendation(F.col("decision")))
+
+
+def stage_by_lang(spark, d):
+    return gate_summary_by_lang(spark, d).select("lang", "pass_rate", decisions.next_stage(F.col("pass_rate")).alias("decision"))
+
+
+def judgment_errors(spark, d):
+    """Labels as judgments: quality decides the winner, some are no winner, some repeat an id, some have none."""
+    n = F.col("doc_id")
+    rows = spark.read.parquet(f"{d}/labels.parquet").select((n + 1).alias("row_idx"), F.when(n % 13 == 0, " ").otherwise((F.when(n % 11 == 0, n - n % 2).otherwise(n)).cast("string")).alias("id"), F.when(n % 7 == 0, "both").when(F.col("quality") == 1, "candidate").otherwise("tie").alias("winner"))
+    return decisions.judgment_errors(rows)
+
+
 # ---- the same in SQL
 
 _MARKS = [m for _, marks in PHASES for m in marks] + ["epoch", "loss", "Loading tokenizer and peft model"]
@@ -109,5 +139,17 @@ select rows, d as digest from l0, s""",
     "phase_first_seen": f"""with l as (select conv_id::varchar as run, turn, (({_MARKS})[octet_length(encode(text)) % {len(_MARKS)} + 1] || ' ' || text) as line0 from conversations), s as (select run, turn, {STRIP.format('line0')} as line from l),
 h as (select run, turn, line, unnest(list_filter([{", ".join("case when " + " or ".join(f"contains(lower(line), '{m}')" for m in marks) + f" then '{name}' end" for name, marks in PHASES)}], lambda x: x is not null)) as phase from s)
 select run, phase, min(turn) as turn, sha256(arg_min(line, (turn, line))) as line_sha256 from h group by run, phase""",
+    "scoring_inputs": """with o as (select doc_id + 1 as row_idx, (case when doc_id % 17 = 1 then doc_id - 1 when doc_id % 19 = 2 then -doc_id else doc_id end) as id, case when doc_id % 3 = 0 then text when doc_id % 3 = 1 then 'o' || text when doc_id % 9 <> 2 then 't' || text else '' end as text from documents),
+k as (select *, min(row_idx) over (partition by id) as first_row, id in (select doc_id from documents) as known from o)
+select row_idx, id::varchar as id, sha256(text) as sha256, null::varchar as message from k where row_idx = first_row and known union all select row_idx, id::varchar, null, 'duplicate output id: ' || id from k where row_idx > first_row
+union all select row_idx, id::varchar, null, 'output id not found in cards: ' || id from k where not known""",
+    "combined_decision": f"""with a as (select decision as rules from ({reviews.SQL["quality_budget"]})), b as (select decision as agents from ({reviews.SQL["arbitration_decision"]})),
+c as (select rules, agents from a, b union all select '{decisions.READY}', agents from b union all select '{decisions.READY}', null), d as (select *, case when rules <> '{decisions.READY}' then rules else coalesce(agents, '{decisions.PENDING}') end as decision from c)
+select *, case decision {" ".join(f"when '{k}' then '{v}'" for k, v in decisions.RECOMMENDATIONS.items())} end as recommendation from d""",
+    "stage_by_lang": f"select lang, pass_rate, case when pass_rate >= 0.65 then '{decisions.NEXT}' else '{decisions.STAY}' end as decision from ({texts.SQL['gate_summary_by_lang']})",
+    "judgment_errors": """with j as (select doc_id + 1 as row_idx, case when doc_id % 13 = 0 then ' ' else (case when doc_id % 11 = 0 then doc_id - doc_id % 2 else doc_id end)::varchar end as id, case when doc_id % 7 = 0 then 'both' when quality = 1 then 'candidate' else 'tie' end as winner from labels),
+f as (select *, min(row_idx) over (partition by id) as first_row from j)
+select 'judgment' as "check", row_idx, id as entity_id, 'judgment row ' || row_idx || ': id must be a non-empty string' as message from j where id = ' ' union all select 'judgment', row_idx, id, 'judgment row ' || row_idx || ': winner must be one of: baseline, candidate, tie' from j where winner = 'both'
+union all select 'judgment', row_idx, id, 'duplicate judgment id: ' || id from f where id <> ' ' and row_idx > first_row""",
 }
 QUERIES = {name: globals()[name] for name in SQL}
