@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -147,6 +148,22 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.concat_tables(held)
 
 
+def releasing(stream):
+    """A stream of batches that gives unused memory back when its task ends: workers live on, and what their allocators
+    keep would add to what the next stages need."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from stream(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return out
+
+
 def as_batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema)], schema=schema)
 

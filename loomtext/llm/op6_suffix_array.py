@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ._chunks import chunked, opened, parcels
-from ._common import as_batch, copies_of, documents, groups, packed, parts, saved, text_bytes, unpacked, without
+from ._common import as_batch, copies_of, documents, groups, packed, parts, releasing, saved, text_bytes, unpacked, without
 from ._words import U, byte_grams, mix, slide_min
 
-LENGTH, LEAD, PART, MOST_PARTS, SAMPLES, FLUSH = 50, 24, 8 << 20, 1 << 17, 64, 400_000
+LENGTH, LEAD, PART, MOST_PARTS, SAMPLES, FLUSH = 50, 24, 8 << 20, 1 << 17, 64, 200_000
 #: In place of a count of rows: spans that a task has settled itself, dealt evenly over the buckets.
 SETTLED = -1
 ASK = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
@@ -71,7 +71,10 @@ def _runs(anchor: np.ndarray, doc: np.ndarray, ok: np.ndarray, most: int) -> tup
 def _pieced(values: np.ndarray, n: int, of) -> np.ndarray:
     """of(values, n), which has a number for every n consecutive values, piece by piece: what it holds besides stays small."""
     step = 1 << 18
-    return np.concatenate([np.zeros(0, U)] + [of(values[lo : lo + step + n - 1], n) for lo in range(0, len(values) - n + 1, step)])
+    out = np.empty(max(0, len(values) - n + 1), U)
+    for lo in range(0, len(out), step):
+        out[lo : lo + step] = of(values[lo : lo + step + n - 1], n)
+    return out
 
 
 class _Anchors:
@@ -238,12 +241,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
     n_parts = min(MOST_PARTS, int(size / part_bytes) + 1)
     n_owners = min(MOST_PARTS, int(size / part_bytes / 4) + 1)
 
+    @releasing
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, _, _, data, at in opened(batch):
                 part, key, _, _ = _Anchors(data, at, length, lead).asked(n_owners)
                 yield from parcels(ASK, part, [key], chunk)
 
+    @releasing
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["part"]):
             counts = t["n"].to_pylist()
@@ -257,6 +262,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
     answers = asked.mapInArrow(answer, "chunk long, part int, bits binary").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("part", "bits"))).alias("answers"))
     splitters = spark.sparkContext.broadcast(_splitters(texts, n_parts, length, lead))
 
+    @releasing
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size_held = 0
@@ -301,6 +307,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
         if held:
             yield from flush()
 
+    @releasing
     def sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["part"]):
             part, width, got = t["part"][0].as_py(), 2 * length - lead, []
@@ -333,6 +340,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, lead: int = LEAD, part_b
     spans = found.where("key is null").select("chunk", "n", "data").unionByName(across)
     marks = spans.groupBy("chunk").agg(F.collect_list(F.struct("n", "data")).alias("spans_of"))
 
+    @releasing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, (_, ids, _, data, at) in enumerate(opened(batch)):
