@@ -217,7 +217,7 @@ def issue_label_normalise(spark, d):
 
 
 def revision_violations(spark, d):
-    r = _revisions(spark, d).select(F.col("revision_id").alias("row_idx"), "revision_id", "model_output", "revised_output", "revision_status", F.sha2("model_output", 256).alias("raw_output_sha256"), F.left(F.sha2("model_output", 256), F.lit(60)).alias("prompt_sha256"))
+    r = _revisions(spark, d).select(F.col("revision_id").alias("row_idx"), "revision_id", "model_output", "revised_output", "revision_status", F.sha2("model_output", 256).alias("raw_output_sha256"), F.left(F.sha2("model_output", 256), F.when(F.col("revision_id") % 4 == 0, 60).otherwise(64)).alias("prompt_sha256"))
     rules = [*gates.required("model_output", "revised_output"), *gates.hashes("raw_output_sha256", "prompt_sha256"), gates.one_of("revision_status", review.ACCEPTED)]
     return gates.violations(r, "revision_id", rules).groupBy("message").agg(F.count("*").alias("n"))
 
@@ -318,7 +318,7 @@ select expected, missing, blocked, arbitration, malformed, case when malformed >
     "provenance_semi_join": "select r.doc_id from documents r where not exists (select 1 from documents g join labels l using (doc_id) where l.quality = 1 and g.lang = r.lang and g.text = r.text and (l.toxic = 1 or g.source = r.source))",
     "reviewer_cross": "select item_id, unnest(['readthrough_structure', 'male_genre_payoff', 'platform_style_compliance']) as reviewer from benchmark",
     "issue_label_normalise": "select page_id, nullif(left(regexp_replace(regexp_replace(regexp_replace(lower(url), '[^a-z0-9_]+', '_', 'g'), '_+', '_', 'g'), '^_+|_+$', '', 'g'), 80), '') as label from pages",
-    "revision_violations": f"with {REVISIONS} select 'prompt_sha256 must be a lowercase SHA-256' as message, count(*) as n from r union all select 'revision_status must be one of: accepted, accepted_with_minor_edits', count(*) from r where not ok having count(*) > 0 union all select 'model_output must be a non-empty string', count(*) from r where trim(model_output) = '' having count(*) > 0 union all select 'revised_output must be a non-empty string', count(*) from r where trim(revised_output) = '' having count(*) > 0",
+    "revision_violations": f"with {REVISIONS} select 'prompt_sha256 must be a lowercase SHA-256' as message, count(*) as n from r where doc_id % 4 = 0 having count(*) > 0 union all select 'revision_status must be one of: accepted, accepted_with_minor_edits', count(*) from r where not ok having count(*) > 0 union all select 'model_output must be a non-empty string', count(*) from r where trim(model_output) = '' having count(*) > 0 union all select 'revised_output must be a non-empty string', count(*) from r where trim(revised_output) = '' having count(*) > 0",
     "readiness": f"""with {SPLIT}, h as (select item_id, unnest(list_distinct({WINDOWS.format(k=K, text='text')})) as w from benchmark), d as (select doc_id, {WINDOWS.format(k=K, text='text')} as g from documents where doc_id in (select item_id from benchmark)),
 e as (select doc_id, unnest(g) as w from d), x as (select s.split, l.quality = 1 and s.split = 'train' as ok, b.item_id is not null as carded from s left join labels l using (doc_id) left join benchmark b on b.item_id = s.doc_id),
 n as (select count(*) as raw, count(*) filter (where split = 'train') as train, count(*) filter (where split <> 'train') as eval_split, count(*) filter (where carded) as cards, count(*) filter (where carded and not coalesce(ok, false)) as card_issues,
