@@ -9,7 +9,8 @@ from . import text as T
 
 #: Failures that leave the gate open.
 SOFT = ("ai_trace", "generic_ai_phrase")
-MARKDOWN = r"(?d)(^|\n)\s*(>|#{1,6}\s+|[-*]\s+|\d+[.、]\s+)"
+#: After a line end, also one put before the text: a search for one character costs far less than one for an alternative.
+MARKDOWN = r"\n\s*(>|#{1,6}\s+|[-*]\s+|\d+[.、]\s+)"
 
 
 def _named(*rules: tuple[Column, str]) -> Column:
@@ -30,7 +31,7 @@ def quality_issues(text: Column, payoff: Column, hook: Column, p: TextProfile =
     return _named(  # in alphabetical order
         (F.size(T.present(text, p.disclaimer_markers)) > 0, "disclaimer_residue"),
         (generic, "generic_ai_phrase"),
-        (text.rlike(MARKDOWN), "markdown_residue"),
+        (F.concat(F.lit("\n"), text).rlike(MARKDOWN), "markdown_residue"),
         (F.size(T.present(text, p.meta_markers)) > 0, "meta_evaluation_residue"),
         ((payoff != "") & (T.term_coverage(payoff, text, p) < p.coverage), "no_visible_payoff"),
         ((chars >= p.padded) & repeats, "padding_to_length"),
@@ -47,13 +48,12 @@ def scored(rows: DataFrame, keep: list[str], text: str, must: Column, must_not:
     would have the rules evaluated twice. Filters on the kept columns still reach the scan."""
     t, none = F.col("_text"), F.array().cast("array<string>")
     must, must_not, payoff, hook = (c.alias(n) for c, n in ((must, "_must"), (must_not, "_not"), (payoff, "_payoff"), (hook, "_hook")))
-    own = rows.select(*keep, F.col(text).alias("_text"), T.counted_only(F.col(text), p).alias("_own"), must, must_not, payoff, hook)
-    grams = own.withColumn("_grams", T.windows(F.col("_own"), 4))
-    base = grams.select(
-        *keep, "_text", "_must", "_payoff", "_hook", F.length("_own").alias("_chars"), T.distinct_share(F.col("_grams")).alias("_repetition"), T.coverage(t, F.col("_must")).alias("_covered"),
-        F.filter(F.coalesce("_not", none), lambda x: (x != "") & F.contains(t, x)).alias("_forbidden"), T.present(t, p.trace_phrases).alias("_trace"), T.run_windows(t, p).alias("_each"),
+    own = rows.select(*keep, F.col(text).alias("_text"), T.marked_runs(F.col(text), p).alias("_runs"), must, must_not, payoff, hook)
+    own = own.withColumn("_own", F.replace("_runs", F.lit("\0"), F.lit("")))
+    base = own.select(
+        *keep, "_text", "_must", "_payoff", "_hook", F.length("_own").alias("_chars"), T.repeated_share(F.col("_own"), 4).alias("_repetition"), T.coverage(t, F.col("_must")).alias("_covered"),
+        F.filter(F.coalesce("_not", none), lambda x: (x != "") & F.contains(t, x)).alias("_forbidden"), T.present(t, p.trace_phrases).alias("_trace"), T.thrice(F.col("_runs")).alias("_repeated"),
     )
-    base = base.withColumn("_order", F.sort_array("_each")).withColumn("_repeated", T.thrice(F.col("_each"), F.col("_order"))).drop("_each", "_order")
     first = _named(
         (F.col("_chars") < p.shortest, "length_short"),
         (F.col("_chars") > p.longest, "length_long"),

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from ..profile import ZH, TextProfile
 
-#: What Python's strip() removes, in Java's syntax.
-EDGES = r"(?U)^\s+|\s+$"
+#: White space of Unicode: what strip() removes.
+EDGES = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, EDGES, "")
+    return F.btrim(text, F.lit(EDGES))
 
 
 def texts(values) -> Column:
@@ -62,14 +65,55 @@ def windows(text: Column, n: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
 
 
-def repeated_ngram_ratio(text: Column, n: int = 4, p: TextProfile = ZH) -> Column:
-    """Sum of (count - 1) over repeated n-grams of the counted characters, over all; 0 if shorter than n."""
-    return distinct_share(windows(counted_only(text, p), n))
+def _ranks(text: str) -> tuple[np.ndarray, int]:
+    """Of each code point its place, from 1 on, among the distinct ones of the text; and how many there are."""
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    seen = np.zeros(int(code.max(initial=0)) + 1, np.uint64)
+    seen[code] = 1
+    return (np.cumsum(seen, dtype=np.uint64) * seen)[code], int(seen.sum())
+
+
+def _packed(rank: np.ndarray, letters: int, n: int) -> np.ndarray:
+    """A number for each window of n: equal windows have equal numbers, others do not."""
+    out, width, most = rank, 1, letters
+    while width < n:
+        step = min(width, n - width)
+        if (most + 1) ** 2 >> 64:  # two numbers no longer fit into one: places among the distinct ones instead
+            distinct, out = np.unique(out, return_inverse=True)
+            most, out = len(distinct), out.astype(np.uint64) + np.uint64(1)
+        out = out[: len(out) - step] * np.uint64(most + 1) + out[step:]
+        width, most = width + step, (most + 1) ** 2 - 1
+    return out
+
+
+def _repeated_share(n: int):
+    @F.arrow_udf(DoubleType())
+    def share(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts.to_pylist():
+            if text is None:
+                out.append(None)
+                continue
+            rank, letters = _ranks(text)
+            many = len(rank) - n + 1
+            if many < 1:
+                out.append(0.0)
+                continue
+            own = np.sort(_packed(rank, letters, n))
+            out.append((many - 1 - int(np.count_nonzero(own[1:] != own[:-1]))) / many)
+        return pa.array(out, pa.float64())
+
+    return share
+
+
+def repeated_share(own: Column, n: int) -> Column:
+    """Share of the n-character windows that repeat an earlier one; 0 if shorter than n. Windows are numbers, not strings."""
+    return _repeated_share(n)(own)
 
 
-def distinct_share(grams: Column) -> Column:
-    """Share of the elements that repeat an earlier one; 0 without elements."""
-    return F.when(F.size(grams) == 0, 0.0).otherwise((F.size(grams) - F.size(F.array_distinct(grams))) / F.size(grams))
+def repeated_ngram_ratio(text: Column, n: int = 4, p: TextProfile = ZH) -> Column:
+    """Sum of (count - 1) over repeated n-grams of the counted characters, over all; 0 if shorter than n."""
+    return repeated_share(counted_only(text, p), n)
 
 
 def shingles(text: Column, k: int = 12, p: TextProfile = ZH) -> Column:
@@ -109,22 +153,47 @@ def runs(text: Column, p: TextProfile = ZH, least: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[{p.counted}]{{{least},}}"), F.lit(0))
 
 
-def run_windows(text: Column, p: TextProfile = ZH) -> Column:
-    """8-windows inside runs of 5 or more; a run of less than 8 whole; a run of 8 or more also brings its last 7 characters."""
-    return F.flatten(F.transform(runs(text, p, 5), lambda r: F.when(F.length(r) < 8, F.array(r)).otherwise(F.concat(windows(r, 8), F.array(F.right(r, F.lit(7)))))))
-
-
-def thrice(each: Column, order: Column) -> Column:
-    """The distinct elements that occur three times, in the order of their first; order: the elements sorted."""
-    # a value that occurs three times stands equal to the one two places on; nothing outside a lambda is evaluated in it
-    found = F.zip_with(order, F.slice(order, 3, F.greatest(F.size(order), F.lit(1))), lambda x, y: F.when(x == y, x))
-    return F.array_intersect(each, F.filter(found, lambda x: x.isNotNull()))
+def _thrice(text: str) -> list[str]:
+    """Of runs that each end in \\0: the elements (see repeated_runs) that occur three times, in order."""
+    rank, letters = _ranks(text)
+    end = np.flatnonzero(rank == 1)  # \\0 is the least code point
+    begin = np.concatenate([[0], end[:-1] + 1])
+    begin, end = begin[end - begin >= 5], end[end - begin >= 5]
+    size = end - begin
+    many = np.where(size < 8, 1, size - 6)  # windows of 8 and the last 7, or the whole
+    run = np.repeat(np.arange(len(end)), many)
+    start = begin[run] + np.arange(len(run)) - (np.cumsum(many) - many)[run]
+    # letters that a number of 64 bits holds; from then on places among the distinct numbers stand for what came before
+    bits, each = (8, 8) if letters < 1 << 8 else (16, 2) if letters < 1 << 16 else (21, 1)
+    rank = np.concatenate([rank, np.ones(7, np.uint64)])
+    held, out = np.ones(len(start), bool), np.zeros(len(start), np.uint64)
+    for i in range(8):
+        held = held & (rank[start + i] > 1)  # nothing beyond the run's end
+        if i and i % each == 0:
+            out = np.unique(out, return_inverse=True)[1].astype(np.uint64)
+        out = (out << np.uint64(bits)) + np.where(held, rank[start + i], np.uint64(0))
+    own = np.sort(out)
+    hot = own[2:][own[2:] == own[:-2]]
+    if not len(hot):
+        return []
+    at = np.flatnonzero(np.isin(out, hot))
+    return list(dict.fromkeys(text[a : min(a + 8, e)] for a, e in zip(start[at].tolist(), end[run[at]].tolist())))
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def thrice(runs: pa.Array) -> pa.Array:
+    return pa.array([None if r is None else _thrice(r + "\0") for r in runs.to_pylist()], pa.list_(pa.string()))
+
+
+def marked_runs(text: Column, p: TextProfile = ZH) -> Column:
+    """The runs of counted characters, parted by \\0, which is never counted."""
+    return F.regexp_replace(text, f"[^{p.counted}]+", "\0")
 
 
 def repeated_runs(text: Column, p: TextProfile = ZH) -> Column:
-    """The windows of runs that occur three times."""
-    each = run_windows(text, p)
-    return thrice(each, F.sort_array(each))
+    """What occurs three times among the 8-windows inside runs of 5 or more, in the order of its first: a run of less than
+    8 counts whole; a run of 8 or more also brings its last 7 characters. Windows are numbers, only those found are strings."""
+    return thrice(marked_runs(text, p))
 
 
 def source_terms(text: Column, p: TextProfile = ZH) -> Column:

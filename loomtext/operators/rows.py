@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-#: Bytes of a table for each core, below which it is dealt over the cores.
-SMALL = 32 << 20
+#: Bytes of a table for each task of text work, at most.
+PIECE = 4 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small table is dealt over all cores, as one row group of a file is one task; larger ones stay as they are read.
+    """A table dealt over all cores, in pieces whose size does not grow with the table: a row group of a file is one task.
 
     For text work that costs far more than the exchange. The size is the optimizer's estimate; results do not depend on it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(4 * cores) if size < SMALL * cores else df
+    return df.repartition(max(4 * cores, -(-size // PIECE)))
 
 
 def first_of(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
