@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
+from ..sources.store import stored
 from .rows import duplicates, missing
 
 
@@ -82,8 +83,9 @@ def recompute_differs(stored: DataFrame, recomputed: DataFrame) -> DataFrame:
 
 
 def quality_budget(expected: DataFrame, generated: DataFrame, metrics: DataFrame) -> DataFrame:
-    """One row: counts of generations and metrics against expected ids, lengths, failures and the decision."""
+    """One row: counts of generations and metrics against expected ids, lengths, failures and the decision. Metrics are computed once."""
     ids = expected.select("id")
+    metrics = stored(metrics.select("id", "hard_gate_pass", "char_count", "failure_types"), "metrics")
     one = lambda df: df.withColumn("one", F.lit(1))
     sums = metrics.agg(
         F.count("*").alias("metrics_rows"), F.count_if("hard_gate_pass").alias("hard_gate_pass"), F.coalesce(F.min("char_count"), F.lit(0)).alias("min_chars"), F.coalesce(F.max("char_count"), F.lit(0)).alias("max_chars"),

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as T
-from loomtext.operators import rows, similar
+from loomtext.operators import gates, rows, similar
 from loomtext.profile import LATIN
 
 
@@ -56,3 +56,19 @@ def test_a_table_is_dealt_in_pieces_of_one_size(spark, monkeypatch):
     assert rows.spread(few).rdd.getNumPartitions() == 4 * cores
     monkeypatch.setattr(rows, "PIECE", 100)
     assert rows.spread(few).rdd.getNumPartitions() == 80
+
+
+def test_the_budget_scores_each_output_once(spark):
+    """Ids of metrics are looked up in three places, but the rules run once a row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def scoring(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    ids = spark.range(1, 21)
+    metrics = ids.selectExpr("id", "id > 3 as hard_gate_pass", "cast(id as int) as char_count", "array('length_short') as failure_types").mapInArrow(scoring, "id long, hard_gate_pass boolean, char_count int, failure_types array<string>")
+    row = gates.quality_budget(ids, ids, metrics).first()
+    assert (row.metrics_rows, row.hard_gate_pass, row.missing_metrics, row.duplicate_metrics, row.length_short) == (20, 17, 0, 0, 20)
+    assert seen.value == 20
