@@ -132,8 +132,8 @@ def entry_gate(spark, d):
 def review_summary(spark, d):
     """The summary over records that hold: an output reviewed twice counts its characters once."""
     reviews, revisions, rejection, preference, generations = _records(spark, d)
-    made, _ = E.checked_generations(generations)
-    revised, _ = E.checked_revisions(revisions)
+    made, _ = E.checked_generations(generations, P)
+    revised, _ = E.checked_revisions(revisions, P)
     reviewed, _ = E.checked_reviews(reviews, made)
     twice = reviewed.unionByName(reviewed.where("row_idx % 7 = 0"))
     return E.review_summary(twice, revised, rejection, preference, made, P)
